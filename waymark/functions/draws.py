@@ -9,42 +9,41 @@ recompute them.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRIME = 2**31 - 1
-FOLD_LOW = 1_103_515_245
-FOLD_HIGH = 1_566_083_941
 MIX = 0x45D9F3B
 MASK = 2**32 - 1
-STEP = 0x9E3779B9
+BASE_26 = "0123456789abcdefghijklmnop"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
-def _fold(keys: list[Column]) -> Column:
-    """Combine whole-number keys of any size and sign into [0, PRIME)."""
-    state: Column = F.lit(0).cast("bigint")
-    for key in keys:
-        key = key.cast("bigint")
-        low = F.pmod(key, F.lit(PRIME))
-        high = F.pmod(F.shiftright(key, 31), F.lit(PRIME))
-        state = (state * FOLD_HIGH + low) % PRIME
-        state = (state * FOLD_LOW + high) % PRIME
-    return state
-
-
-def _scramble(x: Column) -> Column:
-    for _ in range(2):
-        x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX).bitwiseAND(MASK)
-    return x.bitwiseXOR(F.shiftright(x, 16))
+def coefficient(*parts: int | str) -> int:
+    """A fixed odd number below 2**29, different for each use."""
+    digest = hashlib.sha256(":".join(map(str, parts)).encode()).digest()
+    return int.from_bytes(digest[:4], "big") >> 3 | 1
 
 
 def draw(keys: list[Column | str] | Column | str, seed: int, stream: int = 0) -> Column:
-    """A bigint uniform in [0, 2**32); give each use of one key its own ``stream``."""
+    """A bigint uniform in [0, 2**32); give each use of one key its own ``stream``.
+
+    Whole-number keys are combined linearly with coefficients of the seed and
+    stream, then scrambled. The scrambling names its input four times, which
+    keeps the generated code of even several keys small enough to be compiled.
+    """
     keys = keys if isinstance(keys, list) else [keys]
-    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    start = (seed * STEP + stream * MIX) % 2**32
-    return _scramble((_fold(cols) + F.lit(start).cast("bigint")).bitwiseAND(MASK))
+    x: Column = F.lit(coefficient(seed, stream, "start")).cast("bigint")
+    for i, key in enumerate(keys):
+        key = (F.col(key) if isinstance(key, str) else key).cast("bigint")
+        low = key.bitwiseAND(PRIME) * coefficient(seed, stream, i, "low")
+        high = F.shiftright(key, 31).bitwiseAND(PRIME) * coefficient(seed, stream, i, "high")
+        x = (x * coefficient(seed, stream, i, "state") + low + high) % PRIME
+    x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX).bitwiseAND(MASK)
+    x = (x * coefficient(seed, stream, "middle") + 1) % PRIME
+    return (x.bitwiseXOR(F.shiftright(x, 15)) * MIX).bitwiseAND(MASK)
 
 
 def draw_int(keys, lo: int, hi: int, seed: int, stream: int = 0) -> Column:
@@ -65,13 +64,12 @@ def draw_digits(keys, width: int, seed: int, stream: int = 0) -> Column:
 def draw_word(
     keys, shortest: int, longest: int, suffix: str, seed: int, stream: int = 0
 ) -> Column:
-    """Random lower-case word with ``shortest`` to ``longest`` letters plus a suffix.
+    """Random lower-case word with ``shortest`` to ``longest`` (at most 6) letters.
 
-    Uses the streams ``stream`` to ``stream + longest``.
+    One draw, written in base 26, gives all letters; ``stream + 1`` the length.
     """
-    letters = [
-        F.substring(F.lit(LETTERS), draw_int(keys, 1, 27, seed, stream + 1 + i), F.lit(1))
-        for i in range(longest)
-    ]
-    length = draw_int(keys, shortest, longest + 1, seed, stream)
-    return F.concat(F.substring(F.concat(*letters), F.lit(1), length), F.lit(suffix))
+    number = draw(keys, seed, stream) % 26**longest
+    digits = F.lpad(F.lower(F.conv(number.cast("string"), 10, 26)), longest, "0")
+    letters = F.translate(digits, BASE_26, LETTERS)
+    length = draw_int(keys, shortest, longest + 1, seed, stream + 1)
+    return F.concat(F.substring(letters, F.lit(1), length), F.lit(suffix))

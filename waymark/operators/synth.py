@@ -31,8 +31,8 @@ PACKED_HEADER = ";Postal Code;x;y;iseecode;place;population;surface;altitude"
 PACKED_PLACE_FIELD = 5
 EXTRACTED_POPULATION = (50, 2_800_000)
 
-# Draw streams; a name takes one more per letter, so later ones start above.
-NAME, PEOPLE, AREA, SITES, ID = 0, 10, 11, 12, 13
+# Draw streams; a name takes two.
+NAME, PEOPLE, AREA, SITES, ID = 0, 2, 3, 4, 5
 
 
 def synth_names(rows: DataFrame, keys: list[str], country: str, seed: int) -> DataFrame:

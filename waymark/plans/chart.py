@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..operators import TripColumns
-from .draw_sql import draw_sql, fold_sql
+from .draw_sql import draw_sql
 from .registry import query
 
 SEED = 42
@@ -15,8 +15,7 @@ FRACTION = 0.01
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 AT = TripColumns("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
-SAMPLE = f"""(SELECT * FROM (SELECT *, {fold_sql(*KEYS)} AS f FROM lineitem)
-              WHERE {draw_sql(SEED)} < {int(FRACTION * 2**32)})"""
+SAMPLE = f"(SELECT * FROM lineitem WHERE {draw_sql(KEYS, SEED)} < {int(FRACTION * 2**32)})"
 TOP = f"(SELECT * FROM lineitem ORDER BY l_quantity DESC, {', '.join(KEYS)}, l_extendedprice LIMIT 10)"
 
 
@@ -58,7 +57,7 @@ def seeded_sample(t):
     return op.seeded_sample(t("lineitem"), FRACTION, SEED)
 
 
-@query("hash_sample", f"SELECT * EXCLUDE (f) FROM {SAMPLE}")
+@query("hash_sample", f"SELECT * FROM {SAMPLE}")
 def hash_sample(t):
     return sample(t)
 

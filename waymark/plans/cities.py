@@ -20,49 +20,52 @@ from ..operators.synth import (
     SITES,
 )
 from ..sources import read_csv, write_csv
-from .draw_sql import draw_digits_sql, draw_double_sql, draw_int_sql, draw_word_sql, fold_sql
+from .draw_sql import draw_digits_sql, draw_double_sql, draw_int_sql, draw_word_sql
 from .registry import query
 
 SEED = 42
 
 
-def name_sql(country: str) -> str:
-    return draw_word_sql(*NAME_LETTERS, COUNTRIES[country].suffix, SEED, NAME)
+def name_sql(keys: list[str], country: str) -> str:
+    return draw_word_sql(keys, *NAME_LETTERS, COUNTRIES[country].suffix, SEED, NAME)
 
 
-def attributes_sql(country: str) -> str:
+def population_sql(keys: list[str]) -> str:
+    return draw_int_sql(keys, *POPULATION, SEED, PEOPLE)
+
+
+def attributes_sql(keys: list[str], country: str) -> str:
     ranges = COUNTRIES[country]
-    return f"""round({draw_double_sql(ranges.area_min, ranges.area_max, SEED, AREA)}, 2) AS Area,
-               {draw_int_sql(*CULTURAL_SITES, SEED, SITES)} AS CulturalSites,
-               {draw_digits_sql(ID_DIGITS, SEED, ID)} AS CityID"""
+    area = draw_double_sql(keys, ranges.area_min, ranges.area_max, SEED, AREA)
+    return f"""round({area}, 2) AS Area,
+               {draw_int_sql(keys, *CULTURAL_SITES, SEED, SITES)} AS CulturalSites,
+               {draw_digits_sql(keys, ID_DIGITS, SEED, ID)} AS CityID"""
 
 
-POPULATION_SQL = draw_int_sql(*POPULATION, SEED, PEOPLE)
+ORDER_KEY, CITY_KEY = ["o_orderkey"], ["id", "kind"]
 
 
 @query(
     "synth_cities",
-    f"""SELECT o_orderkey, {name_sql("FR")} AS CityName, {POPULATION_SQL} AS Population,
-               {attributes_sql("FR")}
-        FROM (SELECT o_orderkey, {fold_sql("o_orderkey")} AS f FROM orders)""",
+    f"""SELECT o_orderkey, {name_sql(ORDER_KEY, "FR")} AS CityName,
+               {population_sql(ORDER_KEY)} AS Population, {attributes_sql(ORDER_KEY, "FR")}
+        FROM orders""",
 )
 def synth_cities(t):
     """One synthetic city per order."""
-    keys = ["o_orderkey"]
-    named = op.synth_names(t("orders"), keys, "FR", SEED)
-    return op.with_city_attributes(named, keys, "FR", SEED)
+    named = op.synth_names(t("orders"), ORDER_KEY, "FR", SEED)
+    return op.with_city_attributes(named, ORDER_KEY, "FR", SEED)
 
 
 @query(
     "extend_cities",
-    f"""SELECT CityName, Population, {attributes_sql("DE")} FROM (
-          SELECT CityName, CAST(trunc(coalesce(people, 0)) AS INTEGER) AS Population,
-                 {fold_sql("id", "0")} AS f
-          FROM (SELECT c_custkey AS id, c_name AS CityName,
-                       CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS people FROM customer)
-          UNION ALL
-          SELECT {name_sql("DE")}, {POPULATION_SQL}, f
-          FROM (SELECT {fold_sql("o_orderkey", "1")} AS f FROM orders))""",
+    f"""SELECT CityName, CAST(trunc(coalesce(people, 0)) AS INTEGER) AS Population,
+               {attributes_sql(CITY_KEY, "DE")}
+        FROM (SELECT c_custkey AS id, 0 AS kind, c_name AS CityName,
+                     CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS people FROM customer
+              UNION ALL
+              SELECT id, kind, {name_sql(CITY_KEY, "DE")}, {population_sql(CITY_KEY)}
+              FROM (SELECT o_orderkey AS id, 1 AS kind FROM orders))""",
 )
 def extend_cities(t):
     """Customers as real cities, some without a population, and a synthetic one per order."""
@@ -77,8 +80,9 @@ def extend_cities(t):
 
 @query(
     "random_int_column",
-    f"""SELECT s_suppkey, {draw_int_sql(*EXTRACTED_POPULATION, SEED)} AS population
-        FROM (SELECT s_suppkey, {fold_sql("s_suppkey")} AS f FROM supplier)""",
+    f"""SELECT s_suppkey,
+               {draw_int_sql(["s_suppkey"], *EXTRACTED_POPULATION, SEED)} AS population
+        FROM supplier""",
 )
 def random_int_column(t):
     keys = ["s_suppkey"]
@@ -98,8 +102,9 @@ def city_extract(t):
 
 @query(
     "packed_places",
-    f"""SELECT p_name AS cities, {draw_int_sql(*EXTRACTED_POPULATION, SEED)} AS population
-        FROM (SELECT p_name, {fold_sql("p_partkey")} AS f FROM part)""",
+    f"""SELECT p_name AS cities,
+               {draw_int_sql(["p_partkey"], *EXTRACTED_POPULATION, SEED)} AS population
+        FROM part""",
 )
 def packed_places(t):
     """Lines of ``;``-packed fields written as one text column, then taken apart."""

@@ -2,42 +2,37 @@
 
 from __future__ import annotations
 
-from ..functions.draws import FOLD_HIGH, FOLD_LOW, LETTERS, MASK, MIX, PRIME, STEP
+from ..functions.draws import BASE_26, LETTERS, MASK, MIX, PRIME, coefficient
 
 
-def fold_sql(*keys: str) -> str:
-    """Combine non-negative keys into one number; select it once as a column ``f``."""
-    state = "0::BIGINT"
-    for key in keys:
-        state = f"(({state} * {FOLD_HIGH} + ({key})::BIGINT % {PRIME}) % {PRIME})"
-        state = f"(({state} * {FOLD_LOW} + (({key})::BIGINT >> 31) % {PRIME}) % {PRIME})"
-    return state
+def draw_sql(keys: list[str], seed: int, stream: int = 0) -> str:
+    x = f"{coefficient(seed, stream, 'start')}::BIGINT"
+    for i, key in enumerate(keys):
+        state, low, high = (coefficient(seed, stream, i, use) for use in ("state", "low", "high"))
+        key = f"({key})::BIGINT"
+        x = f"(({x} * {state} + ({key} & {PRIME}) * {low} + (({key} >> 31) & {PRIME}) * {high}) % {PRIME})"
+    x = f"((xor({x}, {x} >> 16) * {MIX}) & {MASK})"
+    x = f"(({x} * {coefficient(seed, stream, 'middle')} + 1) % {PRIME})"
+    return f"((xor({x}, {x} >> 15) * {MIX}) & {MASK})"
 
 
-def draw_sql(seed: int, stream: int = 0) -> str:
-    x = f"((f + {(seed * STEP + stream * MIX) % 2**32}) & {MASK})"
-    for _ in range(2):
-        x = f"((xor({x}, {x} >> 16) * {MIX}) & {MASK})"
-    return f"xor({x}, {x} >> 16)"
+def draw_int_sql(keys: list[str], lo: int, hi: int, seed: int, stream: int = 0) -> str:
+    return f"((({draw_sql(keys, seed, stream)} * {hi - lo}) >> 32) + {lo})::INTEGER"
 
 
-def draw_int_sql(lo: int, hi: int, seed: int, stream: int = 0) -> str:
-    return f"((({draw_sql(seed, stream)} * {hi - lo}) >> 32) + {lo})::INTEGER"
-
-
-def draw_double_sql(lo: float, hi: float, seed: int, stream: int = 0) -> str:
-    fraction = f"({draw_sql(seed, stream)})::DOUBLE / 4294967296::DOUBLE"
+def draw_double_sql(keys: list[str], lo: float, hi: float, seed: int, stream: int = 0) -> str:
+    fraction = f"({draw_sql(keys, seed, stream)})::DOUBLE / 4294967296::DOUBLE"
     return f"({fraction} * {hi - lo}::DOUBLE + {lo}::DOUBLE)"
 
 
-def draw_digits_sql(width: int, seed: int, stream: int = 0) -> str:
-    return f"lpad(({draw_int_sql(0, 10**width, seed, stream)})::VARCHAR, {width}, '0')"
+def draw_digits_sql(keys: list[str], width: int, seed: int, stream: int = 0) -> str:
+    return f"lpad(({draw_int_sql(keys, 0, 10**width, seed, stream)})::VARCHAR, {width}, '0')"
 
 
-def draw_word_sql(shortest: int, longest: int, suffix: str, seed: int, stream: int = 0) -> str:
-    letters = " || ".join(
-        f"substr('{LETTERS}', {draw_int_sql(1, 27, seed, stream + 1 + i)}, 1)"
-        for i in range(longest)
-    )
-    length = draw_int_sql(shortest, longest + 1, seed, stream)
+def draw_word_sql(
+    keys: list[str], shortest: int, longest: int, suffix: str, seed: int, stream: int = 0
+) -> str:
+    number = f"{draw_sql(keys, seed, stream)} % {26**longest}"
+    letters = f"translate(lower(to_base({number}, 26, {longest})), '{BASE_26}', '{LETTERS}')"
+    length = draw_int_sql(keys, shortest, longest + 1, seed, stream + 1)
     return f"(substr({letters}, 1, {length}) || '{suffix}')"
