@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 PRIME = 2**31 - 1
 MIX = 0x45D9F3B
 MASK = 2**32 - 1
-BASE_26 = "0123456789abcdefghijklmnop"
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 def coefficient(*parts: int | str) -> int:
@@ -66,10 +64,14 @@ def draw_word(
 ) -> Column:
     """Random lower-case word with ``shortest`` to ``longest`` (at most 6) letters.
 
-    One draw, written in base 26, gives all letters; ``stream + 1`` the length.
+    The base-26 digits of one draw give the letters; ``stream + 1`` the length.
     """
-    number = draw(keys, seed, stream) % 26**longest
-    digits = F.lpad(F.lower(F.conv(number.cast("string"), 10, 26)), longest, "0")
-    letters = F.translate(digits, BASE_26, LETTERS)
+    fraction = draw(keys, seed, stream)
     length = draw_int(keys, shortest, longest + 1, seed, stream + 1)
-    return F.concat(F.substring(letters, F.lit(1), length), F.lit(suffix))
+    letters = [
+        F.char(F.shiftright(fraction * 26 ** (i + 1), 32) % 26 + ord("a"))
+        for i in range(longest)
+    ]
+    always, maybe = letters[:shortest], enumerate(letters[shortest:], shortest)
+    tail = [F.when(length > i, letter).otherwise("") for i, letter in maybe]
+    return F.concat(*always, *tail, F.lit(suffix))

@@ -42,8 +42,8 @@ def describe_long(df: DataFrame) -> DataFrame:
     stats = []
     for i, field in enumerate(fields):
         value = F.col(field.name)
-        number = value.try_cast("double")
         is_text = isinstance(field.dataType, StringType)
+        number = _text_number(value) if is_text else value.cast("double")
         stats += [
             F.count(value).alias(f"n{i}"),
             F.avg(number).alias(f"mean{i}"),
@@ -59,6 +59,11 @@ def describe_long(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
+def _text_number(value: Column) -> Column:
+    """Text as a number, or NULL; a failing cast is slow, so most are ruled out first."""
+    return F.when(value.rlike(r"^[\x00-\x20]*[-+.0-9NnIi]"), value.try_cast("double"))
+
+
 def _stat_row(name: str, i: int, is_text: bool) -> Column:
     low, high = F.col(f"min{i}"), F.col(f"max{i}")
     no_number, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")

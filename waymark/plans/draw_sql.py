@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.draws import BASE_26, LETTERS, MASK, MIX, PRIME, coefficient
+from ..functions.draws import MASK, MIX, PRIME, coefficient
 
 
 def draw_sql(keys: list[str], seed: int, stream: int = 0) -> str:
@@ -32,7 +32,9 @@ def draw_digits_sql(keys: list[str], width: int, seed: int, stream: int = 0) ->
 def draw_word_sql(
     keys: list[str], shortest: int, longest: int, suffix: str, seed: int, stream: int = 0
 ) -> str:
-    number = f"{draw_sql(keys, seed, stream)} % {26**longest}"
-    letters = f"translate(lower(to_base({number}, 26, {longest})), '{BASE_26}', '{LETTERS}')"
+    letters = " || ".join(
+        f"chr(((({draw_sql(keys, seed, stream)} * {26 ** (i + 1)}) >> 32) % 26 + 97)::INTEGER)"
+        for i in range(longest)
+    )
     length = draw_int_sql(keys, shortest, longest + 1, seed, stream + 1)
     return f"(substr({letters}, 1, {length}) || '{suffix}')"
