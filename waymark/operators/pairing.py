@@ -4,8 +4,8 @@ A key shared by a large part of either table would send all its rows to one
 task, and adaptive execution cannot split a full outer join. So the keys are
 looked at first, and hot ones are cut into slices:
 
-* A frequent-items sketch of each side, at most ``SKETCH_KEYS`` keys, finds the
-  candidates in one pass over the key column. Without any, the join stays plain.
+* Frequent-items sketches find the candidates, at most ``SKETCH_KEYS`` keys, in
+  one pass over the key columns. Without any, the join stays plain.
 * Candidates are counted exactly on both sides. A row of a hot key gets one slice
   number of its own side, from a hash of the row, and is repeated for each slice
   of the other side, so each pair of rows meets in exactly one cell
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 SKETCH_KEYS = 1_000
+SKETCH_GROUPS = 256
 ROWS_PER_SLICE = 1_000_000
 
 LEFT, RIGHT, SHARED = "left_slice", "right_slice", "on_both_sides"
@@ -96,24 +97,40 @@ def prepare_pair(
 def _frequent_keys(
     left: DataFrame, right: DataFrame, key: str, rows_per_slice: int
 ) -> DataFrame | None:
-    """The keys that may be hot, at most ``2 * SKETCH_KEYS`` of them, or None.
+    """The keys that may be hot, at most ``SKETCH_KEYS`` of them, or None.
 
     The table is empty if only NULL keys are frequent.
     """
-    summaries = [
-        df.select(F.col(key).alias("k")).agg(
-            F.expr(f"approx_top_k(k, {SKETCH_KEYS}, {SKETCH_KEYS})").alias("top"),
-            F.count_if(F.col("k").isNull()).alias("nulls"),
-        )
-        for df in (left, right)
-    ]
-    both = summaries[0].union(summaries[1]).collect()  # two rows of bounded size
-    found = {t["item"] for s in both for t in s["top"] if t["count"] > rows_per_slice}
-    found.discard(None)
-    if not found and all(s["nulls"] <= rows_per_slice for s in both):
+    sizes = left.agg(F.count("*").alias("n")).union(right.agg(F.count("*")))
+    if max(row["n"] for row in sizes.collect()) <= rows_per_slice:
+        return None  # no key can have more rows than its table
+    estimates = _estimates(left, key).union(_estimates(right, key))
+    totals = estimates.groupBy("item").agg(F.sum("count").alias("count"))
+    frequent = totals.where(F.col("count") > rows_per_slice).orderBy(F.desc("count"))
+    found = [row["item"] for row in frequent.limit(SKETCH_KEYS).collect()]  # bounded
+    if not found:
         return None
     field = StructField(key, left.schema[key].dataType)
-    return left.sparkSession.createDataFrame([(k,) for k in found], StructType([field]))
+    keys = [(k,) for k in found if k is not None]
+    return left.sparkSession.createDataFrame(keys, StructType([field]))
+
+
+def _estimates(df: DataFrame, key: str) -> DataFrame:
+    """Estimated row counts of frequent keys, and the exact count of NULL keys.
+
+    Each group of tasks keeps one sketch, so that no task merges those of all.
+    """
+    rows = df.select(
+        F.col(key).alias("k"), (F.spark_partition_id() % SKETCH_GROUPS).alias("g")
+    )
+    sketches = rows.groupBy("g").agg(
+        F.expr(f"approx_top_k(k, {SKETCH_KEYS}, {SKETCH_KEYS})").alias("top"),
+        F.count_if(F.col("k").isNull()).alias("nulls"),
+    )
+    known = F.filter("top", lambda t: t["item"].isNotNull())
+    null_item = F.lit(None).cast(df.schema[key].dataType).alias("item")
+    nulls = F.array(F.struct(null_item, F.col("nulls").alias("count")))
+    return sketches.select(F.inline(F.concat(known, nulls)))
 
 
 def _count_slices(
@@ -123,7 +140,7 @@ def _count_slices(
     sides = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).union(
         right.select(key, F.lit(0), F.lit(1))
     )
-    # Bounded by the sketches: at most 2 * SKETCH_KEYS rows are broadcast.
+    # At most SKETCH_KEYS rows are broadcast.
     counts = (
         sides.join(F.broadcast(frequent), key, "left_semi")
         .groupBy(key)
@@ -146,7 +163,7 @@ def _slice(
     other: str,
 ) -> DataFrame:
     row_hash = F.xxhash64(*(spread or df.columns))
-    # Bounded by the sketches: at most 2 * SKETCH_KEYS rows are broadcast.
+    # At most SKETCH_KEYS rows are broadcast.
     marked = df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     own_slice = (

@@ -1,6 +1,7 @@
 from .runner import (
     StreamJob,
     StreamTable,
+    await_streams,
     run_stream,
     run_streams,
     start_stream,
@@ -10,6 +11,7 @@ from .runner import (
 __all__ = [
     "StreamJob",
     "StreamTable",
+    "await_streams",
     "run_stream",
     "run_streams",
     "start_stream",

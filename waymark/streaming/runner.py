@@ -151,16 +151,21 @@ def run_streams(jobs: dict[str, StreamJob]) -> dict[str, DataFrame]:
     If one fails the others are stopped and its error is raised at once.
     """
     started = {label: start_stream(job) for label, job in jobs.items()}
-    running = [query for _, query in started.values()]
+    await_streams([query for _, query in started.values()])
+    return {
+        label: table.read(jobs[label].df.sparkSession) for label, (table, _) in started.items()
+    }
+
+
+def await_streams(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until all queries have ended; stop the others as soon as one fails."""
+    running = list(queries)
     try:
         while running:
             running = [q for q in running if not q.awaitTermination(POLL_SECONDS)]
     finally:
         for query in running:
             query.stop()
-    return {
-        label: table.read(jobs[label].df.sparkSession) for label, (table, _) in started.items()
-    }
 
 
 def stream_snapshot(df: DataFrame, view: str) -> DataFrame:
