@@ -15,8 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PRIME = 2**31 - 1
-MIX = 0x45D9F3B
 MASK = 2**32 - 1
+ROOT_SCALE = float(2**36)
 
 
 def coefficient(*parts: int | str) -> int:
@@ -29,8 +29,9 @@ def draw(keys: list[Column | str] | Column | str, seed: int, stream: int = 0) ->
     """A bigint uniform in [0, 2**32); give each use of one key its own ``stream``.
 
     Whole-number keys are combined linearly with coefficients of the seed and
-    stream, then scrambled. The scrambling names its input four times, which
-    keeps the generated code of even several keys small enough to be compiled.
+    stream; the low digits of square roots, which IEEE arithmetic fixes exactly,
+    scatter the result. Each step names its input once: the optimizer may copy an
+    expression into a filter, where repeated inputs are computed again each time.
     """
     keys = keys if isinstance(keys, list) else [keys]
     x: Column = F.lit(coefficient(seed, stream, "start")).cast("bigint")
@@ -39,9 +40,12 @@ def draw(keys: list[Column | str] | Column | str, seed: int, stream: int = 0) ->
         low = key.bitwiseAND(PRIME) * coefficient(seed, stream, i, "low")
         high = F.shiftright(key, 31).bitwiseAND(PRIME) * coefficient(seed, stream, i, "high")
         x = (x * coefficient(seed, stream, i, "state") + low + high) % PRIME
-    x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX).bitwiseAND(MASK)
-    x = (x * coefficient(seed, stream, "middle") + 1) % PRIME
-    return (x.bitwiseXOR(F.shiftright(x, 15)) * MIX).bitwiseAND(MASK)
+    x = (_root_digits(x) % PRIME * coefficient(seed, stream, "middle") + 1) % PRIME
+    return _root_digits(x).bitwiseAND(MASK)
+
+
+def _root_digits(x: Column) -> Column:
+    return (F.sqrt(x) * ROOT_SCALE).cast("bigint")
 
 
 def draw_int(keys, lo: int, hi: int, seed: int, stream: int = 0) -> Column:

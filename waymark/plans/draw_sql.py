@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.draws import MASK, MIX, PRIME, coefficient
+from ..functions.draws import MASK, PRIME, ROOT_SCALE, coefficient
 
 
 def draw_sql(keys: list[str], seed: int, stream: int = 0) -> str:
@@ -11,9 +11,13 @@ def draw_sql(keys: list[str], seed: int, stream: int = 0) -> str:
         state, low, high = (coefficient(seed, stream, i, use) for use in ("state", "low", "high"))
         key = f"({key})::BIGINT"
         x = f"(({x} * {state} + ({key} & {PRIME}) * {low} + (({key} >> 31) & {PRIME}) * {high}) % {PRIME})"
-    x = f"((xor({x}, {x} >> 16) * {MIX}) & {MASK})"
-    x = f"(({x} * {coefficient(seed, stream, 'middle')} + 1) % {PRIME})"
-    return f"((xor({x}, {x} >> 15) * {MIX}) & {MASK})"
+    middle = coefficient(seed, stream, "middle")
+    x = f"(({_root_digits_sql(x)} % {PRIME} * {middle} + 1) % {PRIME})"
+    return f"({_root_digits_sql(x)} & {MASK})"
+
+
+def _root_digits_sql(x: str) -> str:
+    return f"floor(sqrt({x}::DOUBLE) * {int(ROOT_SCALE)}::DOUBLE)::BIGINT"
 
 
 def draw_int_sql(keys: list[str], lo: int, hi: int, seed: int, stream: int = 0) -> str:

@@ -2,7 +2,7 @@
 
 Customers and suppliers stand for the real cities of two countries; each order
 and each part adds a synthetic one. Ids are read as numbers, so that they lose
-their leading zeros, and rows with any gap are dropped.
+their leading zeros, and cities without a name are dropped.
 """
 
 from __future__ import annotations
@@ -41,9 +41,11 @@ def cities(t: Inputs, of: Country) -> DataFrame:
         F.col(of.real_name).alias("CityName"),
         F.when(F.col(of.real_people) >= 0, F.col(of.real_people)).alias("Population"),
     )
+    # Only names of real cities can be missing: populations are filled, the rest drawn.
+    named = op.drop_incomplete_rows(real, ["CityName"])
     extra = t(of.extra_table).select(F.col(of.extra_key).alias("id"))
-    table = op.extend_cities(real, extra, "id", of.code, SEED)
-    return op.drop_incomplete_rows(table.withColumn("CityID", F.col("CityID").cast("int")))
+    table = op.extend_cities(named, extra, "id", of.code, SEED)
+    return table.withColumn("CityID", F.col("CityID").cast("int"))
 
 
 def cities_sql(of: Country) -> str:
@@ -53,7 +55,7 @@ def cities_sql(of: Country) -> str:
         FROM (SELECT *, {attributes_sql(CITY_KEY, of.code)} FROM (
                 SELECT {of.real_key} AS id, 0 AS kind, {of.real_name} AS CityName,
                        CASE WHEN {of.real_people} >= 0 THEN {of.real_people} END AS people
-                FROM {of.real_table}
+                FROM {of.real_table} WHERE {of.real_name} IS NOT NULL
                 UNION ALL
                 SELECT id, kind, {name_sql(CITY_KEY, of.code)}, {population_sql(CITY_KEY)}
                 FROM (SELECT {of.extra_key} AS id, 1 AS kind FROM {of.extra_table}))))"""
