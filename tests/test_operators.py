@@ -341,6 +341,12 @@ def test_hot_keys_are_spread(spark):
     pair = op.prepare_pair(l, r, "k", rows_per_slice=100)
     cells = pair.left.groupBy("left_slice", "right_slice").count().collect()
     assert len(cells) == 50 and max(c["count"] for c in cells) < 200
+    copies = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("s"))
+    spread = op.prepare_pair(copies, copies, "k", rows_per_slice=100).left
+    assert spread.select("left_slice").distinct().count() > 4
+    nulls = copies.withColumn("k", F.lit(None).cast("int"))
+    spread = op.prepare_pair(nulls, copies, "k", rows_per_slice=100).left
+    assert spread.select("left_slice").distinct().count() == 8
     text_keys = l.withColumn("k", F.lit("hot")), r.withColumn("k", F.lit("hot"))
     assert op.full_outer_pair(
         *text_keys, "k", {"id": "a"}, {"id": "b"}, rows_per_slice=100

@@ -212,21 +212,14 @@ PAIR_SQL = """
     SELECT l.l_linestatus AS line_status, r.o_orderstatus AS order_status,
            l.l_extendedprice AS line_price, r.o_totalprice AS order_price
     FROM lineitem l FULL OUTER JOIN orders r ON l.l_orderkey = r.o_custkey"""
-LEFT_SPREAD = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def pair_sides(t: Inputs) -> tuple[DataFrame, DataFrame]:
     """Two tables with the same column names whose keys repeat and partly differ."""
-    lines = op.rename_columns(
-        t("lineitem").withColumn("id", F.col("l_orderkey")),
-        {"l_linestatus": "name", "l_extendedprice": "amount"},
-    )
-    orders = op.rename_columns(
-        t("orders"), {"o_custkey": "id", "o_orderstatus": "name", "o_totalprice": "amount"}
-    )
-    return lines.select("id", "name", "amount", *LEFT_SPREAD), orders.select(
-        "id", "name", "amount", "o_orderkey"
-    )
+    names = ["id", "name", "amount"]
+    lines = t("lineitem").select("l_orderkey", "l_linestatus", "l_extendedprice")
+    orders = t("orders").select("o_custkey", "o_orderstatus", "o_totalprice")
+    return op.rename_all(lines, names), op.rename_all(orders, names)
 
 
 @query("full_outer_pair", PAIR_SQL)
@@ -238,15 +231,13 @@ def full_outer_pair(t):
         "id",
         {"name": "line_status", "amount": "line_price"},
         {"name": "order_status", "amount": "order_price"},
-        left_spread=LEFT_SPREAD,
-        right_spread=["o_orderkey"],
     )
 
 
 @query("full_outer_pair_sql", PAIR_SQL)
 def full_outer_pair_sql(t):
     lines, orders = pair_sides(t)
-    pair = prepare_pair(lines, orders, "id", LEFT_SPREAD, ["o_orderkey"])
+    pair = prepare_pair(lines, orders, "id")
     return run_sql(
         t.spark,
         f"""SELECT l.name AS line_status, r.name AS order_status,
