@@ -29,11 +29,11 @@ ORACLES["op1_decontamination"] = r"""
 WITH docs AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM documents),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
 tests AS (
   SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM benchmark),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark),
 windows AS (
   SELECT DISTINCT item_id, least(13, len(words)) AS n, array_to_string(words[i:i + 12], ' ') AS w
   FROM (SELECT *, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM tests WHERE len(words) > 0)),
