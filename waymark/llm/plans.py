@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, sharding
+from . import bpe, decontaminate, quality, sharding
 from .common import Query, table
 
+# The tokenizer is a parameter of the operator; its file isn't part of the repository.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -58,3 +62,13 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 def op7_sharding(spark: SparkSession, root: str) -> DataFrame:
     placed = sharding.shard_documents(spark, table(spark, root, "documents"))
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op8_bpe(spark: SparkSession, root: str) -> DataFrame:
+    return bpe.token_digests(table(spark, root, "documents"), TOKENIZER)
+
+
+@query
+def op9_quality(spark: SparkSession, root: str) -> DataFrame:
+    return quality.digest(table(spark, root, "documents"), table(spark, root, "labels"))
