@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, sharding
+from . import bpe, decontaminate, language, quality, sharding
 from .common import Query, table
 
 # The tokenizer is a parameter of the operator; its file isn't part of the repository.
@@ -58,6 +58,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+@query
+def op4_language(spark: SparkSession, root: str) -> DataFrame:
+    return language.digest(table(spark, root, "documents"))
+
+
 @query
 def op7_sharding(spark: SparkSession, root: str) -> DataFrame:
     placed = sharding.shard_documents(spark, table(spark, root, "documents"))
