@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, sharding
+from . import bpe, decontaminate, language, quality, sharding, webtext
 from .common import Query, table
 
 # The tokenizer is a parameter of the operator; its file isn't part of the repository.
@@ -77,3 +77,8 @@ def op8_bpe(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op9_quality(spark: SparkSession, root: str) -> DataFrame:
     return quality.digest(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+@query
+def op10_webtext(spark: SparkSession, root: str) -> DataFrame:
+    return webtext.extracted(table(spark, root, "pages"))
