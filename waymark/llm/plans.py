@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, sharding, webtext
+from . import bpe, decontaminate, language, quality, sharding, substrings, webtext
 from .common import Query, table
 
 # The tokenizer is a parameter of the operator; its file isn't part of the repository.
@@ -63,6 +63,31 @@ def op4_language(spark: SparkSession, root: str) -> DataFrame:
     return language.digest(table(spark, root, "documents"))
 
 
+@query
+def op5_substrings(spark: SparkSession, root: str) -> DataFrame:
+    return substrings.digest(table(spark, root, "documents"))
+
+
+ORACLES["op5_substrings"] = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM docs)),
+firsts AS (SELECT w, min(doc_id) AS first_doc FROM windows GROUP BY w HAVING count(DISTINCT doc_id) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM windows JOIN firsts USING (w) WHERE first_doc < doc_id),
+kept AS (
+  SELECT d.doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM docs) d
+  ANTI JOIN gone USING (doc_id, p) GROUP BY d.doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+
 @query
 def op7_sharding(spark: SparkSession, root: str) -> DataFrame:
     placed = sharding.shard_documents(spark, table(spark, root, "documents"))

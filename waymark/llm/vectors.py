@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
+import xxhash
 
 CHARS_PER_BLOCK = 16_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
+ROLL = np.uint64(0xD6E8FEB86659FD93)
 
 
 def blocks(texts: list[str | None], chars: int = CHARS_PER_BLOCK) -> Iterator[list[str | None]]:
@@ -87,3 +90,35 @@ class Grams:
         power = np.uint64(1_000_003) ** (self.place % 64).astype(np.uint64) * (self.place // 64 + 1).astype(np.uint64)
         value = np.add.reduceat(mixed(self.codes + np.uint64(7)) * power, self.starts) if len(self.starts) else np.zeros(0, np.uint64)
         return np.arange(len(self.starts)), mixed(value)
+
+
+# White space that str.split() also cuts at, beyond the six ASCII characters of a plain word pattern.
+OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+PLAIN_WORD = re.compile("[^ \t-\r]+")
+
+
+def plain_words(text: str | None) -> list[str]:
+    """Runs of characters other than space, tab, line feed, vertical tab, form feed and return."""
+    text = text or ""
+    return PLAIN_WORD.findall(text) if OTHER_SPACE.search(text) else text.split()
+
+
+def hashed_rows(rows: list[list[str]]) -> list[np.ndarray]:
+    """64-bit hashes of each row's words; every distinct word is hashed once."""
+
+    class Hashes(dict):
+        def __missing__(self, word: str) -> int:
+            value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+            return value
+
+    known = Hashes()
+    return [np.fromiter(map(known.__getitem__, row), np.uint64, len(row)) for row in rows]
+
+
+def rolling(values: np.ndarray, n: int) -> np.ndarray:
+    """Rabin-Karp hash of every run of ``n`` neighbours, modulo 2**64."""
+    size = max(len(values) - n + 1, 0)
+    out = np.zeros(size, np.uint64)
+    for j in range(n):
+        out = out * ROLL + values[j : j + size]
+    return mixed(out)
