@@ -32,7 +32,7 @@ from .common import picked
 from .vectors import blocks, run_starts, spread
 
 # The white space of the Unicode property of that name.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_SPLIT = re.compile(f"[{WHITE}]+")
 # str.split() also cuts at these four, which are not white space by that property.
 SEPARATOR_CONTROLS = re.compile("[\x1c-\x1f]")
@@ -91,7 +91,7 @@ class Tokenizer:
 
     def _words(self, chunk: str) -> list[str]:
         # Lower-casing is by character, without the rule for a final sigma.
-        return self.pieces(unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower())
+        return self.pieces(unicodedata.normalize("NFC", chunk).replace("\u03a3", "\u03c3").lower())
 
 
 @lru_cache(maxsize=2)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, sharding, substrings, webtext
+from . import bpe, decontaminate, language, near, quality, sharding, substrings, webtext
 from .common import Query, table
 
 # The tokenizer is a parameter of the operator; its file isn't part of the repository.
@@ -58,6 +58,34 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+@query
+def op3_near_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return near.digest(spark, table(spark, root, "documents"))
+
+
+ORACLES["op3_near_dedup"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 1], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 1, 1) + 1)) AS i FROM docs WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM sets x JOIN sets y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * i >= 80 * (p.n + q.n - i)),
+both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM docs
+  UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON both.a = reach.other)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+
 @query
 def op4_language(spark: SparkSession, root: str) -> DataFrame:
     return language.digest(table(spark, root, "documents"))

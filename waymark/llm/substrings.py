@@ -198,7 +198,7 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     return met.mapInArrow(meet, "doc_id bigint, tag int, spans array<int>")
 
 
-def kept_words(words: list[str], spans: list[list[int]] | None, size: int) -> list[str]:
+def kept_words(words: list[bytes], spans: list[list[int]] | None, size: int) -> list[bytes]:
     """The words that no covered window holds."""
     if not spans:
         return words
@@ -211,12 +211,12 @@ def kept_words(words: list[str], spans: list[list[int]] | None, size: int) -> li
 
 def deduplicated(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, text with its white space as single spaces and without repeats, n_words and n_removed."""
-    return _finished(docs, size, lambda kept: " ".join(kept), "kept")
+    return _finished(docs, size, lambda kept: b" ".join(kept).decode("utf-8", "surrogatepass"), "kept")
 
 
 def digest(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """The columns of the registered query."""
-    return _finished(docs, size, lambda kept: hashlib.sha256(" ".join(kept).encode()).hexdigest(), "kept_sha256")
+    return _finished(docs, size, lambda kept: hashlib.sha256(b" ".join(kept)).hexdigest(), "kept_sha256")
 
 
 def _finished(docs: DataFrame, size: int, made, name: str) -> DataFrame:

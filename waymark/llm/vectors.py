@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -92,26 +91,24 @@ class Grams:
         return np.arange(len(self.starts)), mixed(value)
 
 
-# White space that str.split() also cuts at, beyond the six ASCII characters of a plain word pattern.
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-PLAIN_WORD = re.compile("[^ \t-\r]+")
+def plain_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """UTF-8 runs of characters other than space, tab, line feed, vertical tab, form feed and return.
 
+    Splitting and lower-casing bytes touches ASCII only.
+    """
+    data = (text or "").encode("utf-8", "surrogatepass")
+    return (data.lower() if lower else data).split()
 
-def plain_words(text: str | None) -> list[str]:
-    """Runs of characters other than space, tab, line feed, vertical tab, form feed and return."""
-    text = text or ""
-    return PLAIN_WORD.findall(text) if OTHER_SPACE.search(text) else text.split()
 
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
 
-def hashed_rows(rows: list[list[str]]) -> list[np.ndarray]:
-    """64-bit hashes of each row's words; every distinct word is hashed once."""
-
-    class Hashes(dict):
-        def __missing__(self, word: str) -> int:
-            value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-            return value
 
-    known = Hashes()
+def hashed_rows(rows: list[list[bytes]]) -> list[np.ndarray]:
+    """64-bit hashes of each row's words; every distinct word is hashed once."""
+    known = _Hashes()
     return [np.fromiter(map(known.__getitem__, row), np.uint64, len(row)) for row in rows]
 
 
