@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, near, quality, sharding, substrings, webtext
+from . import bpe, decontaminate, language, near, quality, secrets, sharding, substrings, webtext
 from .common import Query, table
 
 # The tokenizer is a parameter of the operator; its file isn't part of the repository.
@@ -78,10 +78,10 @@ common AS (
 links AS (
   SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
   WHERE 100 * i >= 80 * (p.n + q.n - i)),
-both AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (
   SELECT doc_id, doc_id AS other FROM docs
-  UNION SELECT reach.doc_id, both.b FROM reach JOIN both ON both.a = reach.other)
+  UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.other)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
 FROM (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)"""
 
@@ -116,6 +116,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
+@query
+def op6_secrets(spark: SparkSession, root: str) -> DataFrame:
+    return secrets.digest(spark, table(spark, root, "documents"))
+
+
 @query
 def op7_sharding(spark: SparkSession, root: str) -> DataFrame:
     placed = sharding.shard_documents(spark, table(spark, root, "documents"))
