@@ -32,6 +32,7 @@ BATCH = 100
 EPOCHS = 3
 RATE = 0.3
 LEXICON_WORDS = 2000
+CHARS_PER_BLOCK = 4_000_000
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -213,7 +214,7 @@ def identified(docs: DataFrame, tagger: Tagger) -> DataFrame:
     def run(batches):
         for batch in batches:
             done = 0
-            for block in blocks(batch.column("text").to_pylist()):
+            for block in blocks(batch.column("text").to_pylist(), CHARS_PER_BLOCK):
                 names, scores = tagger.documents(block)
                 columns = [batch.column("doc_id").slice(done, len(block)), names, pa.array(scores, pa.float64())]
                 done += len(block)
