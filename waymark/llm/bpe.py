@@ -222,7 +222,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     def run(batches):
         tokenizer = load(path)
         for batch in batches:
-            texts = [decode_ids(np.array(x or [], np.int64), tokenizer) for x in batch.column(ids).to_pylist()]
+            column = batch.column(ids)
+            counts = column.value_lengths().fill_null(0).to_numpy()
+            flat = column.flatten().to_numpy()
+            texts = [decode_ids(flat[i : i + n], tokenizer) for i, n in zip(run_starts(counts), counts, strict=True)]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)

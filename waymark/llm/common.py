@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from ..session import fresh_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ASCII_LOWER = str.maketrans(UPPER, LOWER)
-# Words end at these six characters only: space, tab, line feed, vertical tab, form feed, return.
-SPACES = "\x20\t\n\x0b\x0c\r"
+MOST_BROADCAST_ROWS = 2_000_000
 
 
 def picked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -46,6 +44,15 @@ def kept_table(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def small_side(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows of a few numbers for one side of a join, broadcast only if counted to be few.
+
+    Beyond ``MOST_BROADCAST_ROWS`` (some 150 MB of ids) Spark shuffles the join instead.
+    """
+    rows = kept_table(spark, rows, "side")
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST_ROWS else rows
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 

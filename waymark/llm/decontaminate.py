@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, kept_table, picked, row_key, with_results
+from .common import ascii_lower, kept_table, picked, row_key, small_side, with_results
 
 WINDOW = 13
 # A broadcast needs this proof of its size: below it the set stays under some 500 MB.
@@ -150,4 +150,4 @@ def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame)
     same = (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("__row_key")) & docs["doc_id"].eqNullSafe(
         F.col("__doc_id")
     )
-    return docs.join(bad, same, "left_anti")
+    return docs.join(small_side(spark, bad), same, "left_anti")

@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept_table, picked
+from .common import kept_table, picked, small_side
 from .vectors import blocks, hashed_rows, mixed, plain_words, rolling
 
 SIMILAR = 80
@@ -40,8 +40,6 @@ LEVELS = 4
 LEAST_AGREEMENT = 0.66
 DENSE = 24
 PIECE = 10_000
-# A broadcast needs this proof of its size: 8-byte ids of candidates, some 150 MB.
-MOST_BROADCAST_IDS = 2_000_000
 
 _draw = np.random.default_rng(20)
 FACTORS = _draw.integers(0, 2**63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -210,8 +208,7 @@ def distinct_pairs(found: DataFrame) -> DataFrame:
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """doc_id and shingle set of the documents named in ``ids`` (distinct, named doc_id)."""
-    few = ids.count() <= MOST_BROADCAST_IDS
-    rows = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    rows = docs.join(small_side(docs.sparkSession, ids), "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,9 +288,7 @@ def rest_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
         .where("groups > 1 AND total > 2")
         .select("region", F.col("most.label").alias("largest"), F.ceil(F.col("total") / PIECE).cast("int").alias("pieces"))
     )
-    mixed_regions = kept_table(spark, mixed_regions, "mixed")
-    few = mixed_regions.count() <= MOST_BROADCAST_IDS
-    rows = forest.join(F.broadcast(mixed_regions) if few else mixed_regions, "region")
+    rows = forest.join(small_side(spark, mixed_regions), "region")
     own = F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int")
     columns = ["region", "piece", "visitor", "doc_id", "label", "sketch"]
     members = rows.withColumns({"piece": own, "visitor": F.lit(False)}).select(columns)
@@ -358,7 +353,7 @@ def grouped(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
     pairs = kept_table(spark, distinct_pairs(found), "pairs")
 
     def sets_of(pairs: DataFrame) -> DataFrame:
-        ids = kept_table(spark, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         return kept_table(spark, full_sets(rows, ids, size), "sets")
 
     sets = sets_of(pairs)
@@ -379,3 +374,20 @@ def digest(spark: SparkSession, docs: DataFrame, size: int = 2) -> DataFrame:
     """The columns of the registered query."""
     rows = grouped(spark, docs, size)
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def kept_documents(spark: SparkSession, docs: DataFrame, size: int = 5) -> DataFrame:
+    """One row of each near-duplicate group, the one with the smallest id, with all its columns.
+
+    Of rows that share an id and have words one stays; rows with a null id and documents
+    without words are in no group and stay.
+    """
+    groups = kept_table(spark, grouped(spark, docs, size), "groups").where("doc_id IS NOT NULL AND n_shingles > 0")
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
+    twice = groups.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id")
+    gone, twice = small_side(spark, gone), small_side(spark, twice)
+    same = docs["doc_id"] == F.col("__id")
+    kept = docs.join(gone, same, "left_anti")
+    place = Window.partitionBy("doc_id").orderBy(F.length(F.trim("text")).cast("int") == 0, F.xxhash64("text"))
+    again = kept.join(twice, same, "left_semi").withColumn("__place", F.row_number().over(place))
+    return kept.join(twice, same, "left_anti").unionByName(again.where("__place = 1").drop("__place"))

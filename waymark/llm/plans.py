@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, language, near, quality, secrets, sharding, substrings, webtext
 from .common import Query, table
 
-# The tokenizer is a parameter of the operator; its file isn't part of the repository.
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -129,7 +127,7 @@ def op7_sharding(spark: SparkSession, root: str) -> DataFrame:
 
 @query
 def op8_bpe(spark: SparkSession, root: str) -> DataFrame:
-    return bpe.token_digests(table(spark, root, "documents"), TOKENIZER)
+    return bpe.token_digests(table(spark, root, "documents"), corpus_pipeline.TOKENIZER)
 
 
 @query
@@ -140,3 +138,8 @@ def op9_quality(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op10_webtext(spark: SparkSession, root: str) -> DataFrame:
     return webtext.extracted(table(spark, root, "pages"))
+
+
+@query
+def pipeline(spark: SparkSession, root: str) -> DataFrame:
+    return corpus_pipeline.run(spark, root)
