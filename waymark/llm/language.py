@@ -77,9 +77,9 @@ def chains(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def forward_backward(
-    emission: np.ndarray, starts: np.ndarray, reach: np.ndarray, move: np.ndarray
+    emission: np.ndarray, starts: np.ndarray, reach: np.ndarray, move: np.ndarray, count_moves: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of every position, and expected transitions, of many chains side by side.
+    """Marginals of every position, and expected transitions if counted, of many chains side by side.
 
     ``emission`` holds log scores by position; chains advance together, one step at a time.
     """
@@ -96,8 +96,9 @@ def forward_backward(
         ahead = backward[at + 1] * local[at + 1]
         value = ahead @ step.T
         backward[at] = value / value.sum(axis=1, keepdims=True)
-        pair = forward[at][:, :, None] * step * ahead[:, None, :]
-        moved += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        if count_moves:
+            pair = forward[at][:, :, None] * step * ahead[:, None, :]
+            moved += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
     marginal = forward * backward
     return marginal / marginal.sum(axis=1, keepdims=True), moved
 
@@ -174,7 +175,7 @@ def train(texts: list[str], langs: list[str], seed: int = 1) -> Tagger:
             sequence = np.concatenate(rows)
             _, starts, reach = chains(rows)
             emission = run_sums(tagger.weight[flat], counts)[sequence]
-            marginal, moved = forward_backward(emission, starts, reach, tagger.move)
+            marginal, moved = forward_backward(emission, starts, reach, tagger.move, count_moves=True)
             sizes = np.array([len(r) for r in rows])
             gap = -marginal
             gap[np.arange(len(sequence)), np.repeat(labels[batch], sizes)] += 1

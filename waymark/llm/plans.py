@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, near, quality, secrets, sharding, substrings, webtext
+from . import bpe, decontaminate, language, near, quality, search, secrets, sharding, substrings, webtext
 from .common import Query, table
 
 
@@ -56,6 +56,30 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+@query
+def op2_search(spark: SparkSession, root: str) -> DataFrame:
+    return search.digest(spark, table(spark, root, "documents"))
+
+
+ORACLES["op2_search"] = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
+total AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM docs),
+tf AS (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS w FROM docs) GROUP BY ALL),
+idf AS (
+  SELECT w, ln(1 + (max(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM tf, total GROUP BY w),
+scores AS (
+  SELECT q.doc_id AS query_id, d.doc_id AS doc_id,
+         round(sum(q.tf * idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * len(words) / mean))), 6) AS score
+  FROM tf q JOIN tf d USING (w) JOIN idf USING (w) JOIN docs ON docs.doc_id = d.doc_id, total
+  WHERE q.doc_id % 50 = 0 AND q.doc_id <> d.doc_id GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores)
+WHERE rank <= 10"""
+
+
 @query
 def op3_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near.digest(spark, table(spark, root, "documents"))

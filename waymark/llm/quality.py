@@ -26,7 +26,8 @@ from .vectors import Grams, blocks, numbered, run_starts, run_sums, spread
 
 BUCKETS = 1 << 17
 SIZE = 16
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 2000
+CHARS_PER_BLOCK = 4_000_000
 EPOCHS = 8
 RATE = 8.0
 KEEP_FROM = 0.3
@@ -54,15 +55,16 @@ def repeats(row: np.ndarray) -> int:
 
 def document_features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct feature numbers and their share of each document's features."""
-    rows, words = numbered(texts)
-    flat, counts = features(words)
-    starts = run_starts(counts)
     out = []
-    for row in rows:
-        again = repeats(row)
-        extra = np.repeat([REPEATED, FRESH], [again, len(row) - again])
-        ids, n = np.unique(np.concatenate([flat[spread(starts[row], counts[row])], extra]), return_counts=True)
-        out.append((ids, (n / max(n.sum(), 1)).astype(np.float32)))
+    for block in blocks(texts, CHARS_PER_BLOCK):
+        rows, words = numbered(block)
+        flat, counts = features(words)
+        starts = run_starts(counts)
+        for row in rows:
+            again = repeats(row)
+            extra = np.repeat([REPEATED, FRESH], [again, len(row) - again])
+            ids, n = np.unique(np.concatenate([flat[spread(starts[row], counts[row])], extra]), return_counts=True)
+            out.append((ids.astype(np.int32), (n / max(n.sum(), 1)).astype(np.float32)))
     return out
 
 
@@ -138,7 +140,7 @@ def scored(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     def run(batches):
         for batch in batches:
             texts, done = batch.column(kept.index("text")).to_pylist(), 0
-            for block in blocks(texts):
+            for block in blocks(texts, CHARS_PER_BLOCK):
                 part = batch.slice(done, len(block))
                 done += len(block)
                 yield pa.record_batch([*part.columns, pa.array(model.scores(block))], [*kept, out])
