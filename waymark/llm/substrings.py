@@ -6,9 +6,9 @@ Repeated windows next to each other merge into maximal intervals, whose words go
 
 Windows are grouped by the smallest hash of their four-word parts. Equal windows meet in
 one group, and neighbours mostly share theirs, so a group gets runs of windows and sends
-intervals back. Each task first settles repeats among its own documents and passes on
-only those of the smallest id, so a passage that a third of all rows shares arrives once
-from each task. No words travel but in the last join with the texts.
+intervals back. Each task first settles repeats among the documents it holds at a time and
+passes on only those of the smallest id, so a passage that a third of all rows shares
+arrives once from each such set. No words travel but in the last join with the texts.
 
 Null and empty texts have no words; texts under 13 words lose none. Rows with a null id
 neither lose words nor make others lose them. Rows that share an id are one document, so
@@ -30,7 +30,8 @@ from .vectors import blocks, hashed_rows, plain_words, rolling, run_starts, spre
 
 WINDOW = 13
 PART = 4
-WINDOWS_PER_TASK = 4_000_000
+CHARS_PER_BLOCK = 2_000_000
+WINDOWS_PER_FLUSH = 1_200_000
 
 GROUP_SCHEMA = "bucket int, hashes binary, runs binary, docs binary, tags binary"
 
@@ -60,7 +61,7 @@ def runs_of(doc: np.ndarray, place: np.ndarray, key: np.ndarray | None = None) -
     """Where runs of neighbouring places of one document (and key) start, and their lengths."""
     if not len(doc):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    breaks = (doc[1:] != doc[:-1]) | (place[1:] != place[:-1] + 1)
+    breaks = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] != 1)
     if key is not None:
         breaks |= key[1:] != key[:-1]
     starts = np.concatenate([[0], np.flatnonzero(breaks) + 1])
@@ -93,8 +94,8 @@ def task_groups(
     window = np.concatenate([w for w, _ in parts])
     least = np.concatenate([p for _, p in parts])
     ids, tags = ids[order], tags[order]
-    doc = np.repeat(np.arange(len(ids)), counts)
-    place = np.arange(len(doc)) - np.repeat(run_starts(counts), counts)
+    doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+    place = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
     # Documents are in id order, so the first of equal hashes has the smallest id.
     by_hash = np.argsort(window, kind="stable")
     fresh = np.concatenate([[True], window[by_hash[1:]] != window[by_hash[:-1]]])
@@ -167,13 +168,13 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
         for batch in batches:
             done = 0
-            for block in blocks(batch.column("text").to_pylist()):
+            for block in blocks(batch.column("text").to_pylist(), CHARS_PER_BLOCK):
                 rows += hashed_rows([plain_words(text) for text in block])
                 ids += batch.column("doc_id").slice(done, len(block)).to_pylist()
                 tags += batch.column("tag").slice(done, len(block)).to_pylist()
                 done += len(block)
                 total += sum(map(len, rows[-len(block) :]))
-                if total >= WINDOWS_PER_TASK:
+                if total >= WINDOWS_PER_FLUSH:
                     yield flush()
                     ids, tags, rows, total = [], [], [], 0
         yield flush()
