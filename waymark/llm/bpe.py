@@ -20,7 +20,6 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import count
 
 import numpy as np
@@ -28,9 +27,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import picked
+from .common import picked, ship_by_value
 from .vectors import blocks, run_starts, spread
 
+ship_by_value(__name__)
+
 # The white space of the Unicode property of that name.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_SPLIT = re.compile(f"[{WHITE}]+")
@@ -94,11 +95,6 @@ class Tokenizer:
         return self.pieces(unicodedata.normalize("NFC", chunk).replace("\u03a3", "\u03c3").lower())
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Tokenizer:
-    return Tokenizer(path)
-
-
 class PairIndex:
     """Symbols of many words in one array, with every mergeable pair's positions by rank."""
 
@@ -201,7 +197,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     """doc_id and ids (array of int) of every row."""
 
     def run(batches):
-        tokenizer = load(path)
+        tokenizer = Tokenizer(path)
         for batch in batches:
             done = 0
             for block in blocks(batch.column("text").to_pylist()):
@@ -220,7 +216,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     """Add the text of each row's ids; null ids give an empty text."""
 
     def run(batches):
-        tokenizer = load(path)
+        tokenizer = Tokenizer(path)
         for batch in batches:
             column = batch.column(ids)
             counts = column.value_lengths().fill_null(0).to_numpy()
@@ -239,7 +235,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
         return hashlib.sha256(data).hexdigest()
 
     def run(batches):
-        tokenizer = load(path)
+        tokenizer = Tokenizer(path)
         for batch in batches:
             done = 0
             for block in blocks(batch.column("text").to_pylist()):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MOST_BROADCAST_ROWS = 2_000_000
 
 
+def ship_by_value(name: str) -> None:
+    """Send a module's functions inside the plan, so executors need not have this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
 def picked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the two columns in use, so other columns can have any name."""
     return docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))

@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import picked
+from .common import picked, ship_by_value
 from .quality import remainder
 from .vectors import Grams, blocks, numbered, run_starts, run_sums, spread
 
+ship_by_value(__name__)
+
 BUCKETS = 1 << 17
 SAMPLE_ROWS = 1200
 BATCH = 100

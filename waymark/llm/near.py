@@ -28,9 +28,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept_table, picked, small_side
+from .common import kept_table, picked, ship_by_value, small_side
 from .vectors import blocks, hashed_rows, mixed, plain_words, rolling
 
+ship_by_value(__name__)
+
 SIMILAR = 80
 VALUES = 160
 ORDERS = 24

@@ -21,9 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import picked
+from .common import picked, ship_by_value
 from .vectors import Grams, blocks, numbered, run_starts, run_sums, spread
 
+ship_by_value(__name__)
+
 BUCKETS = 1 << 17
 SIZE = 16
 SAMPLE_ROWS = 2000

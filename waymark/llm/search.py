@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept_table, picked
+from .common import kept_table, picked, ship_by_value
 from .vectors import blocks, hashed_rows, run_starts, spread
 
+ship_by_value(__name__)
+
 K1, B = 1.2, 0.75
 BLOCK = 64
 CHARS_PER_SHARD = 16_000_000

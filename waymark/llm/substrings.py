@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import picked
+from .common import picked, ship_by_value
 from .vectors import blocks, hashed_rows, plain_words, rolling, run_starts, spread
 
+ship_by_value(__name__)
+
 WINDOW = 13
 PART = 4
 CHARS_PER_BLOCK = 2_000_000

@@ -27,6 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship_by_value
+
+ship_by_value(__name__)
+
 # Fixed values of HTML: elements that start a block, and elements whose text is never shown.
 BLOCKS = frozenset(
     """address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
