@@ -7,8 +7,8 @@ form a region; neighbours there share the longest prefixes and are candidates. A
 region is cut by the values that follow, deeper and deeper, so depth adapts to density.
 In each region every class is also a candidate with the most central one, which finds
 the original among thousands of edited copies. Pairs of a region that are still in
-different groups after that are all looked at (``rest_pairs``), so no link hangs on luck
-in the order alone.
+different groups after that are compared too (``rest_links``), so no link hangs on its
+place in an order.
 
 Candidates whose signatures agree too little are dropped; the others are confirmed on
 their full sets. Groups are connected components of the confirmed links.
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import kept_table, picked, ship_by_value, small_side
@@ -38,10 +38,13 @@ VALUES = 160
 ORDERS = 24
 DEPTH = 5
 LEVELS = 4
-# The chance that a link's signatures agree less than this is about one in ten thousand.
+# The chance that a link's 2-bit sketches agree less than this is about one in ten thousand.
 LEAST_AGREEMENT = 0.66
+# For the last pairs whole signatures are compared. A link that is exactly 0.8 similar agrees
+# less than this in one of 200 cases, one of 0.85 in one of a million.
+LEAST_LAST_AGREEMENT = 0.72
 DENSE = 24
-PIECE = 10_000
+PIECE = 500
 
 _draw = np.random.default_rng(20)
 FACTORS = _draw.integers(0, 2**63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -87,10 +90,11 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, signature binary")
 
 
-def forest_rows(classes: DataFrame) -> DataFrame:
+def forest_rows(classes: DataFrame, whole: bool = False) -> DataFrame:
     """One row for each class and order: region, the values that follow, and 2 bits of each value.
 
-    ``classes`` has doc_id, label (its group so far) and signature.
+    ``classes`` has doc_id, label (its group so far) and signature. With ``whole`` the
+    sketch is the signature itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +105,7 @@ def forest_rows(classes: DataFrame) -> DataFrame:
             signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(n, VALUES)
             low = (signs & 3).astype(np.uint8).reshape(n, -1, 4)
             sketch = low[:, :, 0] | low[:, :, 1] << 2 | low[:, :, 2] << 4 | low[:, :, 3] << 6
-            sketches = pa.array([x.tobytes() for x in sketch], pa.binary())
+            sketches = batch.column("signature") if whole else pa.array([x.tobytes() for x in sketch], pa.binary())
             for order in range(ORDERS):
                 columns = (order * DEPTH + np.arange(DEPTH + LEVELS)) % VALUES
                 own = signs[:, columns].astype(np.uint64)
@@ -223,6 +227,12 @@ def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return rows.select("doc_id", "text").mapInArrow(run, "doc_id bigint, shingles binary")
 
 
+def similar(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether two full sets are a link, by whole numbers."""
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= SIMILAR * (len(left) + len(right) - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs a, b that are links on their full sets."""
 
@@ -230,9 +240,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), strict=True):
-                u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(100 * both >= SIMILAR * (len(u) + len(v) - both))
+                keep.append(similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
             yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
@@ -275,63 +283,105 @@ def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.where(apart).select("a", "b")
 
 
-def rest_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
-    """Pairs of each region that are still in different groups and agree enough.
+def rest_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
+    """Who must still be compared: group, doc_id, label and whether the class visits the group.
 
-    In a region with several groups, members of the largest one are looked at against all
-    others only. Regions are cut into pieces of some ``PIECE`` members, and the others
-    visit every piece, so no task holds a large region.
+    In a region with several groups, members of the largest one are compared with the
+    others only, which are its visitors. Regions are cut into pieces of some ``PIECE``
+    members and visitors go to every piece, so no task holds a large region. Classes
+    without a close partner in another group are left out.
     """
-    forest = forest_rows(classes)
-    sizes = forest.groupBy("region", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = forest_rows(classes).groupBy("region", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed_regions = (
         sizes.groupBy("region")
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "label")).alias("most"))
         .where("groups > 1 AND total > 2")
         .select("region", F.col("most.label").alias("largest"), F.ceil(F.col("total") / PIECE).cast("int").alias("pieces"))
     )
-    rows = forest.join(small_side(spark, mixed_regions), "region")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int")
-    columns = ["region", "piece", "visitor", "doc_id", "label", "sketch"]
-    members = rows.withColumns({"piece": own, "visitor": F.lit(False)}).select(columns)
-    visitors = rows.where("label <> largest").withColumn("visitor", F.lit(True))
-    visitors = visitors.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).select(columns)
-
-    def compare(group: list[dict], out: list[tuple]) -> None:
-        members = [r for r in group if not r["visitor"]]
-        if not members:
-            return
-        sketch = np.frombuffer(b"".join(r["sketch"] for r in members), np.uint8).reshape(len(members), -1)
-        ids, labels = (np.array([r[c] for r in members], np.int64) for c in ("doc_id", "label"))
-        for r in group:
-            if r["visitor"]:
-                close = agreement(sketch, np.frombuffer(r["sketch"], np.uint8)) >= LEAST_AGREEMENT
-                for x in ids[close & (labels != r["label"])].tolist():
-                    out.append((min(x, r["doc_id"]), max(x, r["doc_id"])))
+    rows = forest_rows(classes, whole=True).join(small_side(spark, mixed_regions), "region")
+    met = _with_visitors(rows, F.col("label") != F.col("largest"), ["region"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(found: list[tuple]) -> pa.RecordBatch:
-            a, b = zip(*sorted(set(found)), strict=True) if found else ((), ())
-            return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for group in _groups(batches, ["region", "piece"]):
+            found = {}
+            for visitor, partners in _close(group):
+                found[visitor["doc_id"]] = (visitor["label"], True)
+                for x in partners:
+                    found.setdefault(x["doc_id"], (x["label"], False))
+            rows = [(group[0]["largest"], doc_id, *marks) for doc_id, marks in sorted(found.items())]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = [*[pa.int64()] * 3, pa.bool_()]
+            yield pa.record_batch(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["largest", "doc_id", "label", "visitor"]
+            )
+
+    found = met.mapInArrow(run, "largest bigint, doc_id bigint, label bigint, visitor boolean")
+    return found.groupBy("largest", "doc_id", "label").agg(F.max("visitor").alias("visits"))
+
+
+def rest_links(spark: SparkSession, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """Links between groups that no candidate pair has found, confirmed on full sets.
+
+    Sets travel once for each piece of a group that a class is in or visits; only links come out.
+    """
+    members = kept_table(spark, rest_members(spark, classes), "rest")
+    sets = kept_table(spark, full_sets(docs, members.select("doc_id").distinct(), size), "sets")
+    counts = members.groupBy("largest").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
+    signs = classes.select("doc_id", F.col("signature").alias("sketch"))
+    rows = members.join(small_side(spark, counts), "largest").join(signs, "doc_id").join(sets, "doc_id")
+    met = _with_visitors(rows, F.col("visits"), ["largest"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["largest", "piece"]):
+            links = set()
+            for visitor, partners in _close(group):
+                own = np.frombuffer(visitor["shingles"], np.uint64)
+                for x in partners:
+                    if similar(own, np.frombuffer(x["shingles"], np.uint64)):
+                        links.add(tuple(sorted((visitor["doc_id"], x["doc_id"]))))
+            a, b = zip(*sorted(links), strict=True) if links else ((), ())
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-        group: list[dict] = []
-        found: list[tuple] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if group and (group[0]["region"], group[0]["piece"]) != (row["region"], row["piece"]):
-                    compare(group, found)
-                    group = []
-                group.append(row)
-            if len(found) > 100_000:
-                yield pairs(found)
-                found = []
-        compare(group, found)
-        yield pairs(found)
-
-    met = members.unionByName(visitors).repartition("region", "piece").sortWithinPartitions("region", "piece")
     return met.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _with_visitors(rows: DataFrame, visits: Column, by: list[str]) -> DataFrame:
+    """Each row in its own piece, and rows that visit once more in every piece, by group and piece."""
+    own = F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int")
+    members = rows.withColumns({"piece": own, "visitor": F.lit(False)})
+    visitors = rows.where(visits).withColumn("visitor", F.lit(True))
+    visitors = visitors.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    return members.unionByName(visitors).repartition(*by, "piece").sortWithinPartitions(*by, "piece")
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[list[dict]]:
+    """Runs of rows with the same key, from rows in order."""
+    group: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if group and any(group[0][c] != row[c] for c in by):
+                yield group
+                group = []
+            group.append(row)
+    if group:
+        yield group
+
+
+def _close(group: list[dict]) -> Iterator[tuple[dict, list[dict]]]:
+    """Each visitor with the members of other groups whose signatures agree enough."""
+    members = [r for r in group if not r["visitor"]]
+    if not members:
+        return
+    signs = np.frombuffer(b"".join(r["sketch"] for r in members), np.uint16).reshape(len(members), -1)
+    labels = np.array([r["label"] for r in members], np.int64)
+    for row in group:
+        if row["visitor"]:
+            agree = (signs == np.frombuffer(row["sketch"], np.uint16)).sum(axis=1)
+            at = np.flatnonzero((agree >= LEAST_LAST_AGREEMENT * VALUES) & (labels != row["label"]))
+            if len(at):
+                yield row, [members[i] for i in at.tolist()]
+
+
 def labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """The classes with their group so far: a label, or their own id."""
     found = labels.withColumnsRenamed({"doc_id": "own", "label": "found"})
@@ -353,19 +403,14 @@ def grouped(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
     alone = classes.withColumn("label", F.col("doc_id"))
     found = kept_table(spark, candidates(forest_rows(alone)), "candidates")
     pairs = kept_table(spark, distinct_pairs(found), "pairs")
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        return kept_table(spark, full_sets(rows, ids, size), "sets")
-
-    sets = sets_of(pairs)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = kept_table(spark, full_sets(rows, ids, size), "sets")
     links = kept_table(spark, confirmed(pairs.where("central"), sets), "links")
     labels = components(spark, links)
     more = kept_table(spark, across(pairs.where("NOT central"), labels), "pairs")
     links = links.unionByName(kept_table(spark, confirmed(more, sets), "links"))
     labels = components(spark, links)
-    rest = kept_table(spark, rest_pairs(spark, labelled(classes, labels)).join(pairs, ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(kept_table(spark, confirmed(rest, sets_of(rest)), "links"))
+    links = links.unionByName(kept_table(spark, rest_links(spark, labelled(classes, labels), rows, size), "links"))
     named = labelled(classes, components(spark, links))
     named = kept_table(spark, named.select("set_key", F.col("label").alias("component")), "components")
     joined = marked.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
