@@ -54,7 +54,7 @@ def folder(tmp_path):
 def trips(spark, folder):
     for i in range(len(FILES)):
         add_file(folder, i)
-    return drop_incomplete_rows(stream_csv(spark, str(folder), SCHEMA))
+    return drop_incomplete_rows(stream_csv(spark, str(folder), SCHEMA, max_files=1))
 
 
 def at(hour, minute=0):
@@ -140,7 +140,7 @@ def test_restart_resumes_from_the_checkpoint(spark, folder, tmp_path, mode):
     path = str(tmp_path / "result")
 
     def drain():
-        rows = drop_incomplete_rows(stream_csv(spark, str(folder), SCHEMA))
+        rows = drop_incomplete_rows(stream_csv(spark, str(folder), SCHEMA, max_files=1))
         df = rows.select("id") if mode == "append" else count_by(rows, "dist")
         keys = ["dist"] if mode == "update" else []
         table, query = start_stream(StreamJob(df, mode, keys), path)
@@ -172,6 +172,53 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path, mode):
     assert sorted(tuple(r) for r in table.read(spark).collect()) == [(1, None), (2, 5.0)]
 
 
+def test_an_empty_newest_result_is_read_as_empty(spark, tmp_path):
+    df = spark.createDataFrame([(1, 10.0)], "k INT, v DOUBLE")
+    table = StreamTable(str(tmp_path / "t"), df.schema, "complete")
+    assert table.read(spark).count() == 0
+    table.write_batch(df, 0)
+    assert table.read(spark).count() == 1
+    table.write_batch(df.where("k > 1"), 1)
+    assert table.read(spark).count() == 0
+
+
+def test_a_held_frame_keeps_its_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, 10.0)], "k INT, v DOUBLE")
+    table = StreamTable(str(tmp_path / "t"), df.schema, "complete")
+    table.write_batch(df, 0)
+    held = table.read(spark)
+    for batch_id in (1, 2):
+        table.write_batch(df.withColumn("v", F.lit(float(batch_id))), batch_id)
+    assert [r.v for r in held.collect()] == [10.0]
+    assert [r.v for r in table.read(spark).collect()] == [2.0]
+    for batch_id in range(3, 12):
+        table.write_batch(df, batch_id)
+    assert len(list((tmp_path / "t" / "data").glob("batch_id=*"))) <= 4
+
+
+def test_half_a_batch_is_not_read(spark, tmp_path):
+    df = spark.createDataFrame([(1, 10.0)], "k INT, v DOUBLE")
+    for mode, keys in (("complete", ()), ("update", ("k",))):
+        table = StreamTable(str(tmp_path / mode), df.schema, mode, keys)
+        table.write_batch(df, 0)
+        df.withColumn("v", F.lit(99.0)).write.parquet(f"{table.data}/batch_id=1")  # without its marker
+        assert [r.v for r in table.read(spark).collect()] == [10.0]
+
+
+def test_revisions_are_compacted(spark, tmp_path):
+    schema = "k INT, v DOUBLE"
+    frame = lambda i: spark.createDataFrame([(i % 7, float(i)), (100, None if i % 2 else float(i))], schema)
+    table = StreamTable(str(tmp_path / "t"), frame(0).schema, "update", ("k",), compact_every=5)
+    for i in range(50):
+        table.write_batch(frame(i), i)
+        if i % 5 == 4:
+            table.write_batch(frame(i), i)  # a replay of the batch that compacts
+    expected = {(k, float(max(i for i in range(50) if i % 7 == k))) for k in range(7)} | {(100, None)}
+    assert {tuple(r) for r in table.read(spark).collect()} == expected
+    assert len(list((tmp_path / "t" / "data").glob("batch_id=*"))) <= 10
+    assert len(list((tmp_path / "t" / "base").glob("folded=*"))) <= 5
+
+
 def test_one_failing_query_stops_the_others(spark, trips):
     bad = trips.select(F.raise_error(F.lit("broken")).alias("x"), "id")
     with pytest.raises(Exception, match="broken"):

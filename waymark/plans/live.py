@@ -1,7 +1,8 @@
 """Structured Streaming queries over the tables read as streams.
 
 Each drains its stream and gives the running result as a table, so its oracle is
-the batch query. Where the batch query is registered too, both share its plan.
+the batch query over complete rows. Where the batch query is registered too, both
+share its plan.
 """
 
 from __future__ import annotations
@@ -11,44 +12,74 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import day_of_week, hour_of_day
-from ..sources import run_sql, stream_csv, write_csv
-from ..streaming import StreamJob, run_stream, run_streams, stream_snapshot
+from ..sources import stream_csv, write_csv
+from ..streaming import StreamJob, await_streams, run_stream, run_streams, start_stream, stream_snapshot
 from . import batch
 from .registry import Inputs, query, rounded, wall_clock
 
 WINDOW_KEYS = ["start_time", "end_time"]
 
+# The tables hold no nulls, so streams read views with some; incomplete rows are dropped.
+EVENTS = """(SELECT * FROM (SELECT event_id, ts, user_id, props, nullif(event_type, 'error') AS event_type,
+             CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)
+             WHERE event_type IS NOT NULL AND value IS NOT NULL)"""
+LINES = """(SELECT * FROM (SELECT * REPLACE (CASE WHEN l_linenumber <> 7 THEN l_quantity END AS l_quantity,
+            CASE WHEN l_tax <> 0 THEN l_tax END AS l_tax) FROM lineitem)
+            WHERE l_quantity IS NOT NULL AND l_tax IS NOT NULL)"""
+
+
+def of_complete(sql: str) -> str:
+    """A batch oracle over the complete rows of the views above."""
+    return sql.replace("FROM events", f"FROM {EVENTS}").replace("FROM lineitem", f"FROM {LINES}")
+
+
+def with_event_gaps(events: DataFrame) -> DataFrame:
+    return events.withColumns(
+        {
+            "event_type": F.nullif("event_type", F.lit("error")),
+            "value": F.when(F.col("event_id") % 7 != 0, F.col("value")),
+        }
+    )
+
 
 def clean_events(t: Inputs, *columns: str) -> DataFrame:
-    """The event stream without incomplete rows, testing only the columns in use."""
-    events = t.stream("events", ts="ts").select(*columns)
-    return op.drop_incomplete_rows(events, columns)
+    """The event stream without incomplete rows, testing the columns with gaps and those in use."""
+    tested = list(dict.fromkeys(["event_type", "value", *columns]))
+    events = with_event_gaps(t.stream("events", ts="ts")).select(*tested)
+    return op.drop_incomplete_rows(events, tested)
 
 
 def clean_lines(t: Inputs, *columns: str) -> DataFrame:
-    return op.drop_incomplete_rows(t.stream("lineitem").select(*columns), columns)
+    gaps = t.stream("lineitem").withColumns(
+        {
+            "l_quantity": F.when(F.col("l_linenumber") != 7, F.col("l_quantity")),
+            "l_tax": F.when(F.col("l_tax") != 0, F.col("l_tax")),
+        }
+    )
+    tested = list(dict.fromkeys(["l_quantity", "l_tax", *columns]))
+    return op.drop_incomplete_rows(gaps.select(*tested), tested)
 
 
-@query("stream_averages", batch.AVERAGES_SQL)
+@query("stream_averages", of_complete(batch.AVERAGES_SQL))
 def stream_averages(t):
     lines = clean_lines(t, *batch.MEASURES)
     result = run_stream(op.column_stats(lines, batch.MEASURES, "avg"), "complete")
     return rounded(result, 4, *result.columns)
 
 
-@query("stream_shortest", batch.SHORTEST_SQL)
+@query("stream_shortest", of_complete(batch.SHORTEST_SQL))
 def stream_shortest(t):
     groups = op.extreme_groups(clean_lines(t, "l_quantity"), "l_quantity", 10, "smallest")
     return run_stream(groups, "complete")
 
 
-@query("stream_longest", batch.LONGEST_SQL)
+@query("stream_longest", of_complete(batch.LONGEST_SQL))
 def stream_longest(t):
     groups = op.extreme_groups(clean_lines(t, "l_quantity"), "l_quantity", 10, "largest")
     return run_stream(groups, "complete")
 
 
-@query("stream_extremes_union", batch.EXTREMES_SQL)
+@query("stream_extremes_union", of_complete(batch.EXTREMES_SQL))
 def stream_extremes_union(t):
     """One source and one state for both ends; a union of streams would need two."""
     counts = op.count_by(clean_lines(t, "l_quantity"), "l_quantity")
@@ -56,74 +87,111 @@ def stream_extremes_union(t):
     return run_streams({"ends": job})["ends"]
 
 
-@query("stream_avg_by_hour", batch.HOUR_SQL)
+@query("stream_avg_by_hour", of_complete(batch.HOUR_SQL))
 def stream_avg_by_hour(t):
     averages = batch.average_by(clean_events(t, "ts", "value"), hour_of_day, "pickup_hour")
     return rounded(run_stream(averages, "complete"), 6, "avg_value")
 
 
-@query("stream_avg_by_dayofweek", batch.DOW_SQL)
+@query("stream_avg_by_dayofweek", of_complete(batch.DOW_SQL))
 def stream_avg_by_dayofweek(t):
     averages = batch.average_by(clean_events(t, "ts", "value"), day_of_week, "pickup_dayofweek")
     return rounded(run_stream(averages, "complete"), 6, "avg_value")
 
 
-@query("stream_avg_by_type", batch.TYPE_SQL)
+@query("stream_avg_by_type", of_complete(batch.TYPE_SQL))
 def stream_avg_by_type(t):
     events = clean_events(t, "event_type", "user_id")
     averages = op.group_avg(events, "event_type", "user_id", "avg_user")
     return rounded(run_stream(averages, "update", ["event_type"]), 6, "avg_user")
 
 
-@query("stream_hourly_sum", batch.HOURLY_SUM_SQL)
+@query("stream_hourly_sum", of_complete(batch.HOURLY_SUM_SQL))
 def stream_hourly_sum(t):
     events = clean_events(t, "ts", "value")
     sums = op.window_sum(events, "ts", "1 hour", "value", "total_value", watermark="1 hour")
     return wall_clock(rounded(run_stream(sums, "update", WINDOW_KEYS), 2, "total_value"), *WINDOW_KEYS)
 
 
-@query("stream_ten_minute_sum", batch.TEN_MINUTE_SQL)
+@query("stream_ten_minute_sum", of_complete(batch.TEN_MINUTE_SQL))
 def stream_ten_minute_sum(t):
     events = clean_events(t, "ts", "user_id")
     sums = op.window_sum(events, "ts", "10 minutes", "user_id", "total_users")
     return wall_clock(run_stream(sums, "update", WINDOW_KEYS), *WINDOW_KEYS)
 
 
-@query("stream_filter", "SELECT event_id, ts, user_id, value FROM events WHERE value > 50")
+# Every fiftieth event before the middle of the time range comes after all others.
+LATE_EVERY = 50
+LATE_SQL = """
+    WITH bounds AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events),
+    parts AS (SELECT e.*, ts < middle AND event_id % 50 = 0 AS late FROM events e, bounds),
+    mark AS (SELECT max(ts) - INTERVAL 1 HOUR AS watermark FROM parts WHERE NOT late)
+    SELECT date_trunc('hour', ts) AS start_time, date_trunc('hour', ts) + INTERVAL 1 HOUR AS end_time,
+           round(sum(value), 2) AS total_value
+    FROM parts, mark WHERE NOT late OR date_trunc('hour', ts) + INTERVAL 1 HOUR > watermark
+    GROUP BY 1, 2"""
+
+
+@query("stream_late_rows", LATE_SQL)
+def stream_late_rows(t):
+    """Files that arrive in three turns, each drained before the next: a row comes too
+    late when its window had ended by the watermark of the turns before."""
+    path, result = t.scratch("events-ordered"), t.scratch("late-rows")
+    events = t("events").select("event_id", "ts", "value")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(first + (last - first) / 2)
+    late = (F.col("ts") < middle) & (F.col("event_id") % LATE_EVERY == 0)
+    for rows in (events.where((F.col("ts") < middle) & ~late), events.where(F.col("ts") >= middle), events.where(late)):
+        write_csv(rows, path, mode="append", header=False)
+        stream = stream_csv(t.spark, path, "event_id BIGINT, ts TIMESTAMP, value DOUBLE", max_files=None)
+        sums = op.window_sum(stream, "ts", "1 hour", "value", "total_value", watermark="1 hour")
+        table, running = start_stream(StreamJob(sums, "update", WINDOW_KEYS), result)
+        await_streams([running])
+    return wall_clock(rounded(table.read(t.spark), 2, "total_value"), *WINDOW_KEYS)
+
+
+@query("stream_filter", of_complete("SELECT event_id, ts, user_id, value FROM events WHERE value > 50"))
 def stream_filter(t):
     high = op.keep_where(clean_events(t, "event_id", "ts", "user_id", "value"), "value > 50")
-    return wall_clock(run_stream(high, "append"), "ts")
+    return wall_clock(run_stream(high.select("event_id", "ts", "user_id", "value"), "append"), "ts")
+
+
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 @query(
     "stream_snapshot_shape",
-    "SELECT count(*) AS num_rows, CAST(5 AS INTEGER) AS num_cols FROM events",
+    of_complete("SELECT count(*) AS num_rows, CAST(6 AS INTEGER) AS num_cols FROM events"),
 )
 def stream_snapshot_shape(t):
-    stream_snapshot(clean_events(t, "event_id", "ts", "user_id", "event_type", "value"), "waymark_live")
-    return op.table_shape(run_sql(t.spark, "SELECT * FROM waymark_live"))
+    stream_snapshot(clean_events(t, *EVENT_COLUMNS), "waymark_live")
+    return op.table_shape(t.spark.sql("SELECT * FROM waymark_live"))
 
 
-@query("stream_snapshot_describe", batch.describe_sql("events", ["user_id", "value"], ["event_type"]))
+@query(
+    "stream_snapshot_describe",
+    of_complete(batch.describe_sql("events", ["event_id", "user_id", "value"], ["event_type", "props"])),
+)
 def stream_snapshot_describe(t):
-    stream_snapshot(clean_events(t, "user_id", "value", "event_type"), "waymark_live_values")
-    described = op.describe_long(run_sql(t.spark, "SELECT * FROM waymark_live_values"))
+    """Every column of the stream; a description leaves the timestamp out by itself."""
+    stream_snapshot(clean_events(t, *EVENT_COLUMNS), "waymark_live_values")
+    described = op.describe_long(t.spark.sql("SELECT * FROM waymark_live_values"))
     return rounded(described, 3, "mean", "stddev")
 
 
 @query("stream_csv_rows", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def stream_csv_rows(t):
-    """A directory of CSV files with header lines, one file per micro-batch."""
+    """A directory of CSV files with header lines, some files per micro-batch."""
     path = t.scratch("supplier-csv")
     supplier = t("supplier")
-    write_csv(supplier.repartition(2, "s_nationkey"), path)
-    rows = stream_csv(t.spark, path, supplier.schema, max_files=1)
+    write_csv(supplier, path)
+    rows = stream_csv(t.spark, path, supplier.schema, max_files=100)
     return run_stream(op.drop_incomplete_rows(rows), "append")
 
 
 SIDE_BY_SIDE_SQL = " UNION ALL ".join(
     f"SELECT '{kind}' AS kind, CAST({key} AS INTEGER) AS part, round(avg(value), 6) AS avg_value "
-    "FROM events GROUP BY 2"
+    f"FROM {EVENTS} GROUP BY 2"
     for kind, key in (("hour", "hour(ts)"), ("dayofweek", "dayofweek(ts) + 1"))
 )
 

@@ -2,33 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+OWN_FOLDER = "waymark"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder named in ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a machine-local folder would be lost with its executor.
+    The same rule holds for every master; both folders are reachable by all executors.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="waymark-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+        spark.conf.set(CHECKPOINT_KEY, root)
+    return root.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/waymark/{label}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/{OWN_FOLDER}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all files that queries have written; call it when no DataFrame reads them any more."""
+    remove_path(spark, f"{shared_root(spark)}/{OWN_FOLDER}")
 
 
 def use_utc(spark: SparkSession) -> None:

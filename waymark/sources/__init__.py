@@ -1,12 +1,11 @@
 from .files import read_csv, read_table, write_csv
-from .schemas import CITY_SCHEMA, TRIP_SCHEMA, TRIP_SCHEMA_18
+from .schemas import CITY_SCHEMA, TRIP_SCHEMA
 from .streams import stream_csv, stream_table
 from .views import register, run_sql
 
 __all__ = [
     "CITY_SCHEMA",
     "TRIP_SCHEMA",
-    "TRIP_SCHEMA_18",
     "read_csv",
     "read_table",
     "register",

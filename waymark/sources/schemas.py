@@ -12,12 +12,3 @@ TRIP_SCHEMA = (
     "fare_amount DOUBLE, extra DOUBLE, mta_tax DOUBLE, tip_amount DOUBLE, "
     "tolls_amount DOUBLE, improvement_surcharge DOUBLE, total_amount DOUBLE"
 )
-
-TRIP_SCHEMA_18 = (
-    "Vendor STRING, tpep_pickup_datetime TIMESTAMP, tpep_dropoff_datetime TIMESTAMP, "
-    "Passenger_Count INT, Trip_Distance DOUBLE, Pickup_Longitude DOUBLE, "
-    "Pickup_Latitude DOUBLE, Rate_Code STRING, Store_And_Forward STRING, "
-    "Dropoff_Longitude DOUBLE, Dropoff_Latitude DOUBLE, Payment_Type STRING, "
-    "Fare_Amount DOUBLE, Surcharge DOUBLE, MTA_Tax DOUBLE, Tip_Amount DOUBLE, "
-    "Tolls_Amount DOUBLE, Total_Amount DOUBLE"
-)

@@ -1,4 +1,4 @@
-"""Streaming file sources. Each micro-batch takes at most ``max_files`` new files."""
+"""Streaming file sources."""
 
 from __future__ import annotations
 
@@ -10,29 +10,30 @@ def stream_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | str,
-    max_files: int = 1,
+    max_files: int | None,
     header: bool = False,
 ) -> DataFrame:
-    """Read a growing directory of CSV files."""
-    return (
-        spark.readStream.schema(schema)
-        .option("header", header)
-        .option("maxFilesPerTrigger", max_files)
-        .csv(path)
-    )
+    """Read a growing directory of CSV files.
+
+    A micro-batch takes at most ``max_files`` new files, or all there are with None.
+    """
+    reader = spark.readStream.schema(schema).option("header", header)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.csv(path)
 
 
 def stream_table(
-    spark: SparkSession, root: str, name: str, max_files: int = 1000
+    spark: SparkSession, root: str, name: str, max_files: int | None = None
 ) -> DataFrame:
     """Read a Parquet table as a stream, with the schema of the files there now.
 
-    The pattern matches just the table's name; being a pattern, it lets the
-    source take a table that is one file as well as one that is a directory.
+    Without ``max_files`` a drained table is one micro-batch: its files are in no
+    order of time, so cutting it would make a watermark drop rows as late. The
+    pattern matches just the table's name; being a pattern, it lets the source
+    take a table that is one file as well as one that is a directory.
     """
-    schema = spark.read.parquet(f"{root}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(f"{root}/{name}.parque[t]")
-    )
+    reader = spark.readStream.schema(spark.read.parquet(f"{root}/{name}.parquet").schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{root}/{name}.parque[t]")

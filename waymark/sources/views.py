@@ -12,7 +12,5 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def run_sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
-    """Register the given frames under their argument names, then run the text."""
-    for name, df in frames.items():
-        register(df, name)
-    return spark.sql(text)
+    """Run text that names the given frames as ``{name}``; no view is left behind."""
+    return spark.sql(text, **frames)

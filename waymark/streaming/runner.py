@@ -4,14 +4,17 @@ Any batch operator that Structured Streaming supports can be the query; this
 module starts it, keeps its result as a table and reads that table back.
 
 * append: rows never change, so the native Parquet sink writes them once.
-* update: each micro-batch holds the groups that changed. It is written under
-  its batch id, and a reader takes each group's latest revision.
-* complete: each micro-batch holds the whole result. Two folders take turns, so
-  the previous result stays whole while the next one is written, and storage
-  does not grow.
-
-A micro-batch that is replayed after a failure overwrites what it wrote before.
-State and progress live in the checkpoint folder next to the table.
+* update: each micro-batch holds the groups that changed, written under its batch
+  id. Every ``COMPACT_EVERY`` batches the latest revision of each group is folded
+  into a base folder; a reader takes the newest base and the revisions after it.
+* complete: each micro-batch holds the whole result, written under its batch id.
+
+A batch counts once its marker, written last, is there; so a reader never takes half
+a batch, and an empty result is read as empty. A micro-batch that is replayed after a
+failure overwrites what it wrote before. Folders that the newest marker makes
+needless are removed ``LAG`` markers later, so a DataFrame read from an older
+result keeps its files for that long. State and progress live in the checkpoint
+folder next to the table.
 """
 
 from __future__ import annotations
@@ -23,14 +26,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..session import fresh_dir
+from ..session import fresh_dir, remove_path
 
-BATCH, SLOT = "batch_id", "slot"
+BATCH = "batch_id"
 MODES = ("append", "update", "complete")
 DRAIN = {"availableNow": True}
 POLL_SECONDS = 0.2
+COMPACT_EVERY = 20
+LAG = 3
 
 
 @dataclass(frozen=True)
@@ -41,6 +46,7 @@ class StreamTable:
     schema: StructType
     mode: str
     keys: tuple[str, ...] = ()
+    compact_every: int = COMPACT_EVERY
 
     def __post_init__(self):
         if self.mode not in MODES:
@@ -52,6 +58,10 @@ class StreamTable:
     def data(self) -> str:
         return f"{self.path}/data"
 
+    @property
+    def base(self) -> str:
+        return f"{self.path}/base"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.path}/checkpoint"
@@ -60,29 +70,64 @@ class StreamTable:
         """The result so far, as a batch table."""
         columns = self.schema.names
         if self.mode == "append":
-            return self._stored(spark, self.schema).select(*columns)
+            return self._stored(spark, self.data, self.schema).select(*columns)
         if self.mode == "complete":
-            marked = StructType([*self.schema.fields]).add(BATCH, LongType())
-            stored = self._stored(spark, marked.add(SLOT, IntegerType()))
-            newest = stored.agg(F.max(BATCH)).scalar()
-            return stored.where(F.col(BATCH) == newest).select(*columns)
-        marked = StructType([*self.schema.fields]).add(BATCH, LongType())
-        stored = self._stored(spark, marked)
-        values = [c for c in columns if c not in self.keys]
-        latest = stored.groupBy(*self.keys).agg(*[F.max_by(c, BATCH).alias(c) for c in values])
-        return latest.select(*columns)
+            done = self._marked(spark, "data")
+            folder = f"{self.data}/{BATCH}={done[-1]}" if done else f"{self.data}/{BATCH}=none"
+            return self._stored(spark, folder, self.schema).select(*columns)
+        return self._latest(spark, self._marked(spark, "data")).select(*columns)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{self.data}/{BATCH}={batch_id}")
+        self._mark(spark, "data", batch_id)
         if self.mode == "complete":
-            target = f"{self.data}/{SLOT}={batch_id % 2}"
-            batch = batch.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        else:
-            target = f"{self.data}/{BATCH}={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
-
-    def _stored(self, spark: SparkSession, schema: StructType) -> DataFrame:
+            self._drop(spark, "data", [i for i in self._marked(spark, "data") if i <= batch_id - LAG])
+        elif (batch_id + 1) % self.compact_every == 0:
+            self._compact(spark, batch_id)
+
+    def _latest(self, spark: SparkSession, revisions: list[int], before: int | None = None) -> DataFrame:
+        """Each group's newest revision, with its batch id; ``before`` leaves out later bases."""
+        bases = [i for i in self._marked(spark, "base") if before is None or i < before]
+        dated = StructType([*self.schema.fields, StructField(BATCH, LongType())])
+        stored = self._stored(spark, self.data, dated)
+        if bases:
+            newest = self._stored(spark, f"{self.base}/folded={bases[-1]}", dated)
+            stored = newest.unionByName(stored.where(F.col(BATCH) > bases[-1]))
+        last = revisions[-1] if revisions else -1
+        values = [c for c in self.schema.names if c not in self.keys]
+        newest = [F.max_by(c, BATCH).alias(c) for c in values]
+        return stored.where(F.col(BATCH) <= last).groupBy(*self.keys).agg(*newest, F.max(BATCH).alias(BATCH))
+
+    def _compact(self, spark: SparkSession, batch_id: int) -> None:
+        """Fold all revisions so far into a base; a replay folds the same ones again."""
+        revisions = [i for i in self._marked(spark, "data") if i <= batch_id]
+        folded = self._latest(spark, revisions, before=batch_id)
+        folded.write.mode("overwrite").parquet(f"{self.base}/folded={batch_id}")
+        self._mark(spark, "base", batch_id)
+        old = [i for i in self._marked(spark, "base") if i < batch_id]
+        if old:  # what the base before this one holds is needed for its replay only
+            self._drop(spark, "data", [i for i in revisions if i <= old[-1]])
+            self._drop(spark, "base", old[:-LAG])
+
+    def _mark(self, spark: SparkSession, kind: str, batch_id: int) -> None:
+        row = spark.range(batch_id, batch_id + 1).select(F.col("id").alias(BATCH))
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/marks/{kind}/mark={batch_id}")
+
+    def _marked(self, spark: SparkSession, kind: str) -> list[int]:
+        """Ids of finished batches or bases; dropped ones lose their markers too, so there are few."""
+        marks = self._stored(spark, f"{self.path}/marks/{kind}", StructType([StructField(BATCH, LongType())]))
+        return sorted(row[BATCH] for row in marks.select(BATCH).collect())
+
+    def _drop(self, spark: SparkSession, kind: str, ids: list[int]) -> None:
+        folder, name = (self.data, BATCH) if kind == "data" else (self.base, "folded")
+        for i in ids:
+            remove_path(spark, f"{self.path}/marks/{kind}/mark={i}")
+            remove_path(spark, f"{folder}/{name}={i}")
+
+    def _stored(self, spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
         try:
-            return spark.read.schema(schema).parquet(self.data)
+            return spark.read.schema(schema).parquet(folder)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
