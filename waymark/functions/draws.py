@@ -2,50 +2,30 @@
 
 ``rand(seed)`` depends on how rows are partitioned, so a re-run on another
 cluster, or a lost task that is computed again over re-ordered input, may see
-other values. These draws depend only on the key columns and the seed. They use
-64-bit integer arithmetic that cannot overflow, so that any SQL engine can
-recompute them.
+other values. These draws depend only on the key columns and the seed: they are
+32-bit pieces of an MD5 of both, which any SQL engine can recompute.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRIME = 2**31 - 1
-MASK = 2**32 - 1
-ROOT_SCALE = float(2**36)
-
-
-def coefficient(*parts: int | str) -> int:
-    """A fixed odd number below 2**29, different for each use."""
-    digest = hashlib.sha256(":".join(map(str, parts)).encode()).digest()
-    return int.from_bytes(digest[:4], "big") >> 3 | 1
+PER_HASH = 4  # an MD5 has four pieces of 32 bits
+DIGITS = 8
 
 
 def draw(keys: list[Column | str] | Column | str, seed: int, stream: int = 0) -> Column:
     """A bigint uniform in [0, 2**32); give each use of one key its own ``stream``.
 
-    Whole-number keys are combined linearly with coefficients of the seed and
-    stream; the low digits of square roots, which IEEE arithmetic fixes exactly,
-    scatter the result. Each step names its input once: the optimizer may copy an
-    expression into a filter, where repeated inputs are computed again each time.
+    Keys are whole numbers; NULL counts as an empty text. Four streams in a row are
+    pieces of one hash, which is computed once where a projection uses several.
     """
     keys = keys if isinstance(keys, list) else [keys]
-    x: Column = F.lit(coefficient(seed, stream, "start")).cast("bigint")
-    for i, key in enumerate(keys):
-        key = (F.col(key) if isinstance(key, str) else key).cast("bigint")
-        low = key.bitwiseAND(PRIME) * coefficient(seed, stream, i, "low")
-        high = F.shiftright(key, 31).bitwiseAND(PRIME) * coefficient(seed, stream, i, "high")
-        x = (x * coefficient(seed, stream, i, "state") + low + high) % PRIME
-    x = (_root_digits(x) % PRIME * coefficient(seed, stream, "middle") + 1) % PRIME
-    return _root_digits(x).bitwiseAND(MASK)
-
-
-def _root_digits(x: Column) -> Column:
-    return (F.sqrt(x) * ROOT_SCALE).cast("bigint")
+    parts = [(F.col(k) if isinstance(k, str) else k).cast("bigint").cast("string") for k in keys]
+    text = F.concat_ws(":", F.lit(f"{seed}:{stream // PER_HASH}"), *[F.coalesce(p, F.lit("")) for p in parts])
+    piece = F.substring(F.md5(text), 1 + DIGITS * (stream % PER_HASH), DIGITS)
+    return F.conv(piece, 16, 10).cast("bigint")
 
 
 def draw_int(keys, lo: int, hi: int, seed: int, stream: int = 0) -> Column:

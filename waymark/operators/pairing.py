@@ -1,19 +1,20 @@
 """Full outer join of two tables on one key, safe against hot keys.
 
 A key shared by a large part of either table would send all its rows to one
-task, and adaptive execution cannot split a full outer join. So the keys are
-looked at first, and hot ones are cut into slices:
-
-* Frequent-items sketches find the candidates, at most ``SKETCH_KEYS`` keys, in
-  one pass over the key columns. Without any, the join stays plain.
-* Candidates are counted exactly on both sides. A row of a hot key gets one slice
-  number of its own side, from a hash of the row and its task, and is repeated for each slice
-  of the other side, so each pair of rows meets in exactly one cell
-  (left slice, right slice).
+task, and adaptive execution cannot split a full outer join. So the rows of every
+key are counted exactly on both sides, in the same lazy plan as the join, and keys
+with more rows than a slice holds are cut into slices:
+
+* A row of a hot key gets one slice number of its own side, from a hash of the row
+  and its task, and is repeated for each slice of the other side, so each pair of
+  rows meets in exactly one cell (left slice, right slice).
 * A cell can lack rows of one side although the key has partners in another
   cell. Such rows are dropped after the join for keys known to be on both sides.
 
-Rows with a NULL key match nothing; many of them are spread by the hash of the row.
+The counts combine in each task before they are shuffled. The table of hot keys
+grows with the data, so it is joined without a forced broadcast: adaptive execution
+broadcasts it by its measured size, or else splits the hot keys of that left join.
+Rows with a NULL key match nothing and are spread by the hash of the row.
 """
 
 from __future__ import annotations
@@ -22,10 +23,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
-SKETCH_KEYS = 1_000
-SKETCH_GROUPS = 256
 ROWS_PER_SLICE = 1_000_000
 
 LEFT, RIGHT, SHARED = "left_slice", "right_slice", "on_both_sides"
@@ -73,81 +71,25 @@ def full_outer_pair(
 def prepare_pair(
     left: DataFrame, right: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> Pair:
-    """Slice the hot keys of both tables, if there are any.
-
-    This counts both tables, and reads the key columns of tables larger than a
-    slice once more for the sketches and, if those find something, for the exact
-    counts. Sketches can miss keys of less than about 0.3 % of a table; such keys
-    are joined unsliced, with the same result.
-    """
-    same_key = f"l.`{key}` = r.`{key}`"
-    frequent = _frequent_keys(left, right, key, rows_per_slice)
-    if frequent is None:
-        return Pair(left, right, same_key, "TRUE")
-    hot = _count_slices(left, right, frequent, key, rows_per_slice)
+    """Give both tables the slices of their hot keys."""
+    hot = _hot_keys(left, right, key, rows_per_slice)
     return Pair(
         _slice(left, hot, key, LEFT, RIGHT),
         _slice(right, hot, key, RIGHT, LEFT),
-        f"{same_key} AND l.{LEFT} = r.{LEFT} AND l.{RIGHT} = r.{RIGHT}",
+        f"l.`{key}` = r.`{key}` AND l.{LEFT} = r.{LEFT} AND l.{RIGHT} = r.{RIGHT}",
         f"NOT (coalesce(l.{SHARED}, r.{SHARED})"
         f" AND (l.{SHARED} IS NULL OR r.{SHARED} IS NULL))",
     )
 
 
-def _frequent_keys(
-    left: DataFrame, right: DataFrame, key: str, rows_per_slice: int
-) -> DataFrame | None:
-    """The keys that may be hot, at most ``SKETCH_KEYS`` of them, or None.
-
-    The table is empty if only NULL keys are frequent.
-    """
-    sizes = left.agg(F.count("*").alias("n")).union(right.agg(F.count("*")))
-    if max(row["n"] for row in sizes.collect()) <= rows_per_slice:
-        return None  # no key can have more rows than its table
-    estimates = _estimates(left, key).union(_estimates(right, key))
-    totals = estimates.groupBy("item").agg(F.sum("count").alias("count"))
-    frequent = totals.where(F.col("count") > rows_per_slice).orderBy(F.desc("count"))
-    found = [row["item"] for row in frequent.limit(SKETCH_KEYS).collect()]  # bounded
-    if not found:
-        return None
-    field = StructField(key, left.schema[key].dataType)
-    keys = [(k,) for k in found if k is not None]
-    return left.sparkSession.createDataFrame(keys, StructType([field]))
-
-
-def _estimates(df: DataFrame, key: str) -> DataFrame:
-    """Estimated row counts of frequent keys, and the exact count of NULL keys.
-
-    Each group of tasks keeps one sketch, so that no task merges those of all.
-    """
-    rows = df.select(
-        F.col(key).alias("k"), (F.spark_partition_id() % SKETCH_GROUPS).alias("g")
-    )
-    sketches = rows.groupBy("g").agg(
-        F.expr(f"approx_top_k(k, {SKETCH_KEYS}, {SKETCH_KEYS})").alias("top"),
-        F.count_if(F.col("k").isNull()).alias("nulls"),
-    )
-    known = F.filter("top", lambda t: t["item"].isNotNull())
-    null_item = F.lit(None).cast(df.schema[key].dataType).alias("item")
-    nulls = F.array(F.struct(null_item, F.col("nulls").alias("count")))
-    return sketches.select(F.inline(F.concat(known, nulls)))
-
-
-def _count_slices(
-    left: DataFrame, right: DataFrame, frequent: DataFrame, key: str, rows_per_slice: int
-) -> DataFrame:
-    """Per frequent key: slices of each side, and whether it is on both sides."""
-    sides = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).union(
-        right.select(key, F.lit(0), F.lit(1))
-    )
-    # At most SKETCH_KEYS rows are broadcast.
-    counts = (
-        sides.join(F.broadcast(frequent), key, "left_semi")
-        .groupBy(key)
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    )
-    return counts.select(
-        F.col(key).alias("hot_key"),
+def _hot_keys(left: DataFrame, right: DataFrame, key: str, rows_per_slice: int) -> DataFrame:
+    """Per key with more rows than a slice: slices of each side, and whether both have it."""
+    zero = F.lit(0).cast("bigint")
+    l = left.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("l"), zero.alias("r"))
+    r = right.groupBy(F.col(key).alias("hot_key")).agg(zero.alias("l"), F.count("*").alias("r"))
+    counts = l.union(r).where("hot_key IS NOT NULL").groupBy("hot_key").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+    return counts.where(F.greatest("l", "r") > rows_per_slice).select(
+        "hot_key",
         F.greatest(F.ceil(F.col("l") / rows_per_slice), F.lit(1)).alias(f"{LEFT}s"),
         F.greatest(F.ceil(F.col("r") / rows_per_slice), F.lit(1)).alias(f"{RIGHT}s"),
         ((F.col("l") > 0) & (F.col("r") > 0)).alias(SHARED),
@@ -158,13 +100,13 @@ def _slice(df: DataFrame, hot: DataFrame, key: str, own: str, other: str) -> Dat
     # The task's number separates exact copies of a row. Unlike a row number it does
     # not depend on the order of rows, so a task that is run again gives the same.
     row_hash = F.xxhash64(*df.columns, F.spark_partition_id())
-    # At most SKETCH_KEYS rows are broadcast.
-    marked = df.join(F.broadcast(hot), F.col(key) == F.col("hot_key"), "left")
+    hashed = df.withColumn("row_hash", row_hash)
+    marked = hashed.join(hot, F.col(key) == F.col("hot_key"), "left")
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     own_slice = (
-        F.when(F.col(key).isNull(), row_hash)
+        F.when(F.col(key).isNull(), F.col("row_hash"))
         .when(F.col("hot_key").isNull(), zero)
-        .otherwise(F.pmod(row_hash, F.col(f"{own}s")))
+        .otherwise(F.pmod("row_hash", F.col(f"{own}s")))
     )
     last = F.coalesce(F.col(f"{other}s"), one) - 1
     return marked.select(

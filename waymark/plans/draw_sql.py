@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-from ..functions.draws import MASK, PRIME, ROOT_SCALE, coefficient
+from ..functions.draws import DIGITS, PER_HASH
 
 
 def draw_sql(keys: list[str], seed: int, stream: int = 0) -> str:
-    x = f"{coefficient(seed, stream, 'start')}::BIGINT"
-    for i, key in enumerate(keys):
-        state, low, high = (coefficient(seed, stream, i, use) for use in ("state", "low", "high"))
-        key = f"({key})::BIGINT"
-        x = f"(({x} * {state} + ({key} & {PRIME}) * {low} + (({key} >> 31) & {PRIME}) * {high}) % {PRIME})"
-    middle = coefficient(seed, stream, "middle")
-    x = f"(({_root_digits_sql(x)} % {PRIME} * {middle} + 1) % {PRIME})"
-    return f"({_root_digits_sql(x)} & {MASK})"
-
-
-def _root_digits_sql(x: str) -> str:
-    return f"floor(sqrt({x}::DOUBLE) * {int(ROOT_SCALE)}::DOUBLE)::BIGINT"
+    parts = ", ".join(f"coalesce((({key})::BIGINT)::VARCHAR, '')" for key in keys)
+    text = f"concat_ws(':', '{seed}:{stream // PER_HASH}', {parts})"
+    piece = f"substr(md5({text}), {1 + DIGITS * (stream % PER_HASH)}, {DIGITS})"
+    return f"(('0x' || {piece})::BIGINT)"
 
 
 def draw_int_sql(keys: list[str], lo: int, hi: int, seed: int, stream: int = 0) -> str:
