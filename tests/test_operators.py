@@ -105,6 +105,18 @@ def test_draws_are_uniform_and_in_range(spark):
     assert abs(np.corrcoef(drawn.i, drawn.d)[0, 1]) < 0.03
 
 
+def test_draws_are_uniform_in_the_tail(spark):
+    n = 10_000_000
+    x = spark.range(n).select(draw("id", 42).alias("x"))
+    fractions = [10.0**-e for e in range(2, 7)]
+    below = [F.count_if(F.col("x") < int(f * 2**32)).alias(f"f{i}") for i, f in enumerate(fractions)]
+    row = x.agg(F.count_if(F.col("x") == 0).alias("zeros"), *below).first()
+    assert row.zeros <= 2
+    for i, f in enumerate(fractions):
+        expected = n * f
+        assert abs(row[f"f{i}"] - expected) < 5 * (expected * (1 - f)) ** 0.5
+
+
 def test_synthetic_cities(spark):
     for country, suffix, top in (("DE", "burg", 900), ("FR", "ville", 110)):
         cities = op.synth_cities(spark, 3000, country, seed=5).toPandas()
@@ -335,6 +347,18 @@ def test_full_outer_pair_property(spark, left_keys, right_keys, rows_per_slice):
     assert join(spark, left, right, rows_per_slice=rows_per_slice) == expected
 
 
+def test_many_hot_keys_are_all_sliced(spark):
+    keys = spark.range(3000).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20))))
+    left = keys.select((F.col("id") + 1000).alias("k"), F.concat_ws("-", "id", "copy").alias("name"))
+    right = keys.select(F.col("id").alias("k"), F.concat_ws("+", "id", "copy").alias("name"))
+    pair = op.prepare_pair(left, right, "k", rows_per_slice=5)
+    sliced = pair.left.groupBy("k").agg(F.countDistinct("left_slice").alias("n")).where("n > 1").count()
+    assert sliced == 3000
+    joined = op.full_outer_pair(left, right, "k", {"name": "a"}, {"name": "b"}, rows_per_slice=5)
+    row = joined.agg(F.count("*").alias("n"), F.count("a").alias("a"), F.count("b").alias("b")).first()
+    assert (row.n, row.a, row.b) == (2000 * 400 + 2 * 20_000, 2000 * 400 + 20_000, 2000 * 400 + 20_000)
+
+
 def test_hot_keys_are_spread(spark):
     l = spark.range(5000).select(F.lit(1).alias("k"), "id")
     r = spark.range(10).select(F.lit(1).alias("k"), "id")

@@ -33,7 +33,11 @@ def sorted_rows(table):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+# The training-corpus queries have their own tests.
+QUERIES = sorted(set(contract.queries()) - set(getattr(contract.corpus_plans(), "QUERIES", ())))
+
+
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
     table = contract.queries()[name](spark, ROOT).toArrow()
     assert table.num_rows > 0

@@ -55,4 +55,58 @@ from .synth import (
 )
 from .trips import TripColumns, trip_endpoints, trip_legs
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [
+    "TripColumns",
+    "averages_long",
+    "both_ends",
+    "column_list",
+    "column_stats",
+    "correlation_matrix",
+    "count_by",
+    "describe_long",
+    "describe_text",
+    "drop_columns",
+    "drop_incomplete_rows",
+    "extend_cities",
+    "extend_rows",
+    "extract_columns",
+    "extract_packed_places",
+    "extreme_groups",
+    "extremes_union",
+    "fill_and_cast",
+    "fit_fare_model",
+    "full_outer_pair",
+    "group_avg",
+    "group_count",
+    "hash_sample",
+    "histogram",
+    "keep_null",
+    "keep_where",
+    "null_profile",
+    "numeric_columns",
+    "point_set",
+    "prepare_pair",
+    "project",
+    "rename_all",
+    "rename_columns",
+    "row_count",
+    "score",
+    "seeded_sample",
+    "select_exprs",
+    "sorted_projection",
+    "synth_cities",
+    "synth_names",
+    "table_shape",
+    "table_summary",
+    "top_k",
+    "top_k_series",
+    "trip_endpoints",
+    "trip_features",
+    "trip_legs",
+    "window_sum",
+    "with_city_attributes",
+    "with_parsed_timestamp",
+    "with_random_int",
+    "with_ratio",
+    "with_split_field",
+]

@@ -15,6 +15,9 @@ from .clean import numeric_columns
 # Ship the per-task step inside the plan, so executors need not have this package.
 cloudpickle.register_pickle_by_value(comoments)
 
+# Partial results are merged in this many groups of tasks first, then once more.
+MERGE_GROUPS = 256
+
 
 def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(
@@ -94,6 +97,33 @@ def describe_text(df: DataFrame) -> DataFrame:
     return df.describe()
 
 
+def _merged(partials: DataFrame, by: list[str]) -> DataFrame:
+    """Co-moments of each group, summed around the group's smallest mean."""
+    group, n = Window.partitionBy(*by), F.col("n")
+    low = {f"low_{v}": F.min(f"mean_{v}").over(group) for v in "xy"}
+    shifted = partials.withColumns(low).withColumns(
+        {f"d_{v}": F.col(f"mean_{v}") - F.col(f"low_{v}") for v in "xy"}
+    )
+    sums = shifted.groupBy(*by).agg(
+        F.sum(n).alias("n"),
+        *[F.first(f"low_{v}").alias(f"low_{v}") for v in "xy"],
+        *[F.sum(n * F.col(f"d_{v}")).alias(f"s_{v}") for v in "xy"],
+        *[
+            F.sum(F.col(f"c_{v}{w}") + n * F.col(f"d_{v}") * F.col(f"d_{w}")).alias(f"sum_{v}{w}")
+            for v, w in ("xy", "xx", "yy")
+        ],
+    )
+    return sums.select(
+        *by,
+        "n",
+        *[(F.col(f"low_{v}") + F.try_divide(f"s_{v}", n)).alias(f"mean_{v}") for v in "xy"],
+        *[
+            (F.col(f"sum_{v}{w}") - F.try_divide(F.col(f"s_{v}") * F.col(f"s_{w}"), n)).alias(f"c_{v}{w}")
+            for v, w in ("xy", "xx", "yy")
+        ],
+    )
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns as (col_x, col_y, corr).
 
@@ -106,22 +136,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     names = list(columns) if columns is not None else numeric_columns(df)
     values = df.select(*[F.col(c).cast("double") for c in names])
     partials = values.mapInArrow(comoments.partial_comoments, comoments.PARTIAL_SCHEMA)
-    pair = Window.partitionBy("i", "j")
-    n = F.col("n")
-    d_x = F.col("mean_x") - F.min("mean_x").over(pair)
-    d_y = F.col("mean_y") - F.min("mean_y").over(pair)
-    shifted = partials.withColumns({"d_x": d_x, "d_y": d_y})
-    merged = shifted.groupBy("i", "j").agg(
-        F.sum(n).alias("n"),
-        F.sum(n * F.col("d_x")).alias("s_x"),
-        F.sum(n * F.col("d_y")).alias("s_y"),
-        F.sum(F.col("c_xy") + n * F.col("d_x") * F.col("d_y")).alias("xy"),
-        F.sum(F.col("c_xx") + n * F.col("d_x") * F.col("d_x")).alias("xx"),
-        F.sum(F.col("c_yy") + n * F.col("d_y") * F.col("d_y")).alias("yy"),
-    )
-    co_xy = F.expr("xy - s_x * s_y / n")
-    co_xx, co_yy = F.expr("xx - s_x * s_x / n"), F.expr("yy - s_y * s_y / n")
-    corr = F.try_divide(co_xy, F.sqrt(co_xx) * F.sqrt(co_yy))
+    tasks = partials.withColumn("g", F.spark_partition_id() % MERGE_GROUPS)
+    merged = _merged(_merged(tasks, ["g", "i", "j"]), ["i", "j"])
+    corr = F.try_divide(F.col("c_xy"), F.sqrt("c_xx") * F.sqrt("c_yy"))
     found = merged.select("i", "j", F.when(~F.isnan(corr), corr).alias("corr"))
     label = F.array(*[F.lit(c) for c in names])
     cells = df.sparkSession.range(len(names) ** 2).selectExpr(

@@ -21,6 +21,8 @@ LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 GAPS = "(SELECT event_id, nullif(event_type, 'error') AS event_type, "
 GAPS += "CASE WHEN event_type <> 'error' THEN value END AS value FROM events)"
 
+GAPS_TEXT = "(SELECT user_id, nullif(event_type, 'error') AS event_type FROM events)"
+
 
 def events_with_gaps(t: Inputs) -> DataFrame:
     return t("events").select(
@@ -43,12 +45,17 @@ def csv_typed_scan(t):
 
 @query(
     "csv_headerless_scan",
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
+       FROM (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders) WHERE status IS NOT NULL""",
 )
 def csv_headerless_scan(t):
-    """Header lines arrive as rows with nulls, which dropping incomplete rows removes."""
+    """Header lines arrive as rows with nulls, which dropping incomplete rows removes.
+
+    So does it remove real rows with a null, as the oracle does.
+    """
     path = t.scratch("orders-csv")
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    orders = orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
     write_csv(orders, path)
     return op.drop_incomplete_rows(read_csv(t.spark, path, orders.schema, header=False))
 
@@ -90,7 +97,7 @@ def ratio_column(t):
 def ratio_column_sql(t):
     return run_sql(
         t.spark,
-        "SELECT p_partkey, try_divide(p_retailprice, p_size) AS density FROM waymark_part",
+        "SELECT p_partkey, try_divide(p_retailprice, p_size) AS density FROM {waymark_part}",
         waymark_part=t("part"),
     )
 
@@ -234,6 +241,30 @@ def full_outer_pair(t):
     )
 
 
+# Small enough that most keys are hot, so that small tables run the sliced join too.
+HOT_ROWS_PER_SLICE = 4
+
+
+@query(
+    "full_outer_hot_pair",
+    """SELECT l.o_orderstatus AS order_status, r.event_type AS event_type,
+              l.o_totalprice AS order_price, r.value AS event_value
+       FROM orders l FULL OUTER JOIN events r ON l.o_custkey = r.user_id""",
+)
+def full_outer_hot_pair(t):
+    names = ["id", "name", "amount"]
+    orders = op.rename_all(t("orders").select("o_custkey", "o_orderstatus", "o_totalprice"), names)
+    events = op.rename_all(t("events").select("user_id", "event_type", "value"), names)
+    return op.full_outer_pair(
+        orders,
+        events,
+        "id",
+        {"name": "order_status", "amount": "order_price"},
+        {"name": "event_type", "amount": "event_value"},
+        rows_per_slice=HOT_ROWS_PER_SLICE,
+    )
+
+
 @query("full_outer_pair_sql", PAIR_SQL)
 def full_outer_pair_sql(t):
     lines, orders = pair_sides(t)
@@ -242,7 +273,7 @@ def full_outer_pair_sql(t):
         t.spark,
         f"""SELECT l.name AS line_status, r.name AS order_status,
                    l.amount AS line_price, r.amount AS order_price
-            FROM waymark_lines l FULL OUTER JOIN waymark_orders r ON {pair.on}
+            FROM {{waymark_lines}} l FULL OUTER JOIN {{waymark_orders}} r ON {pair.on}
             WHERE {pair.keep}""",
         waymark_lines=pair.left,
         waymark_orders=pair.right,
@@ -273,7 +304,7 @@ def table_summary_sql(t):
         """SELECT sum(p_size) AS total_size, round(avg(p_retailprice), 4) AS average_price,
                   min(p_size) AS min_size, max(p_size) AS max_size,
                   count(p_partkey) AS part_count
-           FROM waymark_part""",
+           FROM {waymark_part}""",
         waymark_part=t("part"),
     )
 
@@ -297,7 +328,7 @@ def column_averages(t):
 def column_averages_sql(t):
     columns = ", ".join(f"round(avg({c}), 4) AS avg_{c}" for c in MEASURES)
     return run_sql(
-        t.spark, f"SELECT {columns} FROM waymark_lines", waymark_lines=t("lineitem")
+        t.spark, f"SELECT {columns} FROM {{waymark_lines}}", waymark_lines=t("lineitem")
     )
 
 
@@ -442,6 +473,19 @@ def correlation_matrix(t):
     return rounded(op.correlation_matrix(t("lineitem")), 6, "corr")
 
 
+@query(
+    "describe_text",
+    f"""SELECT summary, CAST(user_id AS VARCHAR) AS user_id, event_type FROM (
+          SELECT 'count' AS summary, count(user_id) AS user_id, CAST(count(event_type) AS VARCHAR) AS event_type FROM {GAPS_TEXT}
+          UNION ALL SELECT 'min', min(user_id), min(event_type) FROM {GAPS_TEXT}
+          UNION ALL SELECT 'max', max(user_id), max(event_type) FROM {GAPS_TEXT})""",
+)
+def describe_text(t):
+    """Spark's own layout. Its mean and deviation are texts of doubles, checked as numbers elsewhere."""
+    gaps = t("events").select("user_id", F.nullif("event_type", F.lit("error")).alias("event_type"))
+    return op.describe_text(gaps).where("summary IN ('count', 'min', 'max')")
+
+
 @query(
     "histogram",
     """WITH edge AS (SELECT min(value) AS lo, max(value) AS hi FROM events),

@@ -57,6 +57,33 @@ def seeded_sample(t):
     return op.seeded_sample(t("lineitem"), FRACTION, SEED)
 
 
+@query(
+    "seeded_sample_checks",
+    "SELECT TRUE AS all_in_table, TRUE AS none_twice, TRUE AS near_fraction FROM (SELECT count(*) FROM lineitem)",
+)
+def seeded_sample_checks(t):
+    """Sampled rows are rows of the table, none more often than there, about as many as asked."""
+    unit = F.lit(1)
+    table = t("lineitem").groupBy(*KEYS).agg(F.count(unit).alias("n"))
+    taken = seeded_sample(t).groupBy(*KEYS).agg(F.count(unit).alias("taken"))
+    both = table.join(taken, KEYS, "full_outer")
+    total, drawn = F.sum("n"), F.coalesce(F.sum("taken"), F.lit(0))
+    spread = F.sqrt(total * FRACTION * (1 - FRACTION))
+    return both.agg(
+        (F.count_if(F.col("n").isNull()) == 0).alias("all_in_table"),
+        (F.count_if(F.col("taken") > F.col("n")) == 0).alias("none_twice"),
+        (F.abs(drawn - total * FRACTION) < 6 * spread).alias("near_fraction"),
+    )
+
+
+SMALL_FRACTION = 0.0001
+
+
+@query("hash_sample_small", f"SELECT * FROM lineitem WHERE {draw_sql(KEYS, SEED)} < {int(SMALL_FRACTION * 2**32)}")
+def hash_sample_small(t):
+    return op.hash_sample(t("lineitem"), KEYS, SMALL_FRACTION, SEED)
+
+
 @query("hash_sample", f"SELECT * FROM {SAMPLE}")
 def hash_sample(t):
     return sample(t)

@@ -1,17 +1,31 @@
-"""Model features, and scores of a table and of a stream. Scores have no SQL oracle."""
+"""Model features, and scores of a table and of a stream.
+
+Scores have no SQL oracle; what must hold of them has: the ``*_checks`` queries.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from .. import operators as op
 from ..streaming import run_stream
 from .registry import Inputs, query
 
-FEATURES = ["user_id", "pickup_hour", "pickup_dayofweek"]
-COLUMNS = ["event_id", "user_id", "value"]
+KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+MEASURES = ["l_quantity", "l_discount", "l_tax"]
+FEATURES = [*MEASURES, "l_linenumber", "pickup_hour", "pickup_dayofweek"]
+LABEL = "l_extendedprice"
+COLUMNS = [*KEYS, *MEASURES, LABEL]
+
+
+def line_features(lines: DataFrame) -> DataFrame:
+    return op.trip_features(lines, "l_shipdate", COLUMNS)
 
 
 def fitted(t: Inputs):
-    return op.fit_fare_model(op.trip_features(t("events"), "ts", COLUMNS), FEATURES, "value")
+    """Fits while the query is built, on every row with valid features."""
+    return op.fit_fare_model(line_features(t("lineitem")), FEATURES, LABEL)
 
 
 @query(
@@ -21,16 +35,59 @@ def fitted(t: Inputs):
        FROM events""",
 )
 def trip_features(t):
-    return op.trip_features(t("events"), "ts", COLUMNS)
+    return op.trip_features(t("events"), "ts", ["event_id", "user_id", "value"])
 
 
 @query("fit_score")
 def fit_score(t):
-    features = op.trip_features(t("events"), "ts", COLUMNS)
-    return op.score(fitted(t), features, ["event_id", "value"])
+    return op.score(fitted(t), line_features(t("lineitem")), [*KEYS, LABEL])
 
 
 @query("stream_scored")
 def stream_scored(t):
-    features = op.trip_features(t.stream("events", ts="ts"), "ts", COLUMNS)
-    return run_stream(op.score(fitted(t), features, ["event_id", "value"]), "append")
+    lines = line_features(t.stream("lineitem", ts="l_shipdate"))
+    return run_stream(op.score(fitted(t), lines, [*KEYS, LABEL]), "append")
+
+
+VALID = " AND ".join(f"{c} IS NOT NULL" for c in [*MEASURES, "l_linenumber", "l_shipdate"])
+
+
+@query(
+    "fit_score_checks",
+    f"""SELECT count(*) AS scored_rows, CAST(0 AS BIGINT) AS outside_label_range, TRUE AS beats_the_mean
+        FROM lineitem WHERE {VALID}""",
+)
+def fit_score_checks(t):
+    """Rows with valid features are scored, within the label's range, better than by its mean."""
+    scored = fit_score(t)
+    label = t("lineitem").agg(
+        F.min(LABEL).alias("lo"), F.max(LABEL).alias("hi"), F.var_pop(LABEL).alias("variance")
+    )
+    outside = (F.col("prediction") < label.select("lo").scalar()) | (
+        F.col("prediction") > label.select("hi").scalar()
+    )
+    error = F.avg((F.col("prediction") - F.col(LABEL)) ** 2)
+    return scored.agg(
+        F.count("prediction").alias("scored_rows"),
+        F.count_if(outside).alias("outside_label_range"),
+        (error < label.select("variance").scalar()).alias("beats_the_mean"),
+    )
+
+
+@query(
+    "stream_scored_checks",
+    f"SELECT count(*) AS scored_rows, CAST(0 AS BIGINT) AS mismatches FROM lineitem WHERE {VALID}",
+)
+def stream_scored_checks(t):
+    """A stream's predictions are those of the table, row by row."""
+    model = fitted(t)
+    lines = line_features(t.stream("lineitem", ts="l_shipdate"))
+    counted = [
+        op.score(model, line_features(t("lineitem")), [*KEYS, LABEL]).withColumn("side", F.lit(1)),
+        run_stream(op.score(model, lines, [*KEYS, LABEL]), "append").withColumn("side", F.lit(-1)),
+    ]
+    rows = counted[0].unionByName(counted[1]).groupBy(*KEYS, LABEL, "prediction")
+    sides = rows.agg(F.sum("side").alias("more"), F.count_if(F.col("side") < 0).alias("streamed"))
+    return sides.agg(
+        F.sum("streamed").alias("scored_rows"), F.count_if(F.col("more") != 0).alias("mismatches")
+    )
