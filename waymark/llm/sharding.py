@@ -47,14 +47,16 @@ def first_map(loads: DataFrame, shards: int) -> DataFrame:
     return loads.withColumn("shard", F.pmod("virtual_slot", F.lit(shards)).cast("int"))
 
 
-def _split(slot_map: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
-    """Slots that their shard keeps, largest first up to an even share, and the rest."""
+def _filled(slot_map: DataFrame, shards: int) -> DataFrame:
+    """The map and whether a shard keeps a slot: its largest first, up to an even share.
+
+    Both windows are over the map's ``SLOTS`` rows.
+    """
     largest = Window.partitionBy("shard").orderBy(F.desc("bytes"), "virtual_slot")
-    even = slot_map.agg((F.sum("bytes") / shards).alias("even"))
-    filled = slot_map.withColumn("filled", F.sum("bytes").over(largest)).join(F.broadcast(even))
-    columns = ["virtual_slot", "bytes", "rows", "shard"]
-    stays = F.col("filled") <= F.col("even")
-    return filled.where(stays).select(columns), filled.where(~stays).select(columns)
+    total = F.sum("bytes").over(Window.partitionBy(F.lit(0)))
+    return slot_map.select(
+        "virtual_slot", "bytes", "rows", "shard", (F.sum("bytes").over(largest) <= total / shards).alias("stays")
+    )
 
 
 def rebalanced(slot_map: DataFrame, shards: int) -> DataFrame:
@@ -62,17 +64,13 @@ def rebalanced(slot_map: DataFrame, shards: int) -> DataFrame:
 
     The greedy deal is one row of at most ``SLOTS`` entries, whatever the data's size.
     """
-    stays, goes = _split(slot_map, shards)
-    held = stays.groupBy("shard").agg(F.sum("bytes").alias("held"))
-    held = (
-        slot_map.sparkSession.range(shards)
-        .select(F.col("id").cast("int").alias("shard"))
-        .join(held, "shard", "left")
-        .na.fill(0, ["held"])
-        .agg(F.array_sort(F.collect_list(F.struct("shard", "held"))).alias("held"))
-    )
+    filled = _filled(slot_map, shards)
     entry = F.struct((-F.col("bytes")).alias("order"), "virtual_slot", "bytes", "rows")
-    free = goes.agg(F.array_sort(F.collect_list(entry)).alias("free"))
+    held = [F.sum(F.when(F.col("stays") & (F.col("shard") == s), F.col("bytes")).otherwise(0)) for s in range(shards)]
+    free = filled.agg(
+        F.array_sort(F.collect_list(F.when(~F.col("stays"), entry))).alias("free"),
+        F.array(*[F.coalesce(x, F.lit(0)) for x in held]).alias("loads"),
+    )
     nothing = F.expr("CAST(array() AS array<struct<virtual_slot:int,bytes:bigint,rows:bigint,shard:int>>)")
 
     def emptiest(loads):
@@ -88,18 +86,16 @@ def rebalanced(slot_map: DataFrame, shards: int) -> DataFrame:
             F.concat(done["dealt"], F.array(dealt)).alias("dealt"),
         )
 
-    loads = F.transform("held", lambda x: x["held"])
-    start = F.struct(loads.alias("loads"), emptiest(loads).alias("to"), nothing.alias("dealt"))
-    dealt = free.join(F.broadcast(held)).select(
-        F.explode(F.aggregate("free", start, deal)["dealt"]).alias("x")
-    )
-    return stays.unionByName(dealt.select("x.*"))
+    start = F.struct("loads", emptiest(F.col("loads")).alias("to"), nothing.alias("dealt"))
+    dealt = free.select(F.explode(F.aggregate("free", start, deal)["dealt"]).alias("x"))
+    return filled.where("stays").drop("stays").unionByName(dealt.select("x.*"))
 
 
 def grown(slot_map: DataFrame, shards: int) -> DataFrame:
     """The map for one more shard: slots move only into the new one, numbered ``shards``."""
-    stays, goes = _split(slot_map, shards + 1)
-    return stays.unionByName(goes.withColumn("shard", F.lit(shards)))
+    filled = _filled(slot_map, shards + 1)
+    shard = F.when(F.col("stays"), F.col("shard")).otherwise(F.lit(shards))
+    return filled.withColumn("shard", shard).drop("stays")
 
 
 def save_version(slot_map: DataFrame, folder: str, version: int) -> DataFrame:
