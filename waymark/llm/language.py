@@ -35,6 +35,7 @@ EPOCHS = 3
 RATE = 0.3
 LEXICON_WORDS = 2000
 CHARS_PER_BLOCK = 4_000_000
+WORDS_AT_ONCE = 20_000
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -115,8 +116,11 @@ class Tagger:
     lexicon: dict[str, int]
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        flat, counts = features(words, self.lexicon, len(self.states))
-        return run_sums(self.weight[flat], counts)
+        parts = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            flat, counts = features(words[at : at + WORDS_AT_ONCE], self.lexicon, len(self.states))
+            parts.append(run_sums(self.weight[flat], counts))
+        return np.concatenate(parts)
 
     def word_languages(self, texts: list[str | None]) -> list[np.ndarray]:
         """Probabilities of each state for each word of each text."""

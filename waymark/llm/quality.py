@@ -30,6 +30,7 @@ BUCKETS = 1 << 17
 SIZE = 16
 SAMPLE_ROWS = 2000
 CHARS_PER_BLOCK = 4_000_000
+WORDS_AT_ONCE = 20_000
 EPOCHS = 8
 RATE = 8.0
 KEEP_FROM = 0.3
@@ -58,7 +59,7 @@ def repeats(row: np.ndarray) -> int:
 def document_features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct feature numbers and their share of each document's features."""
     out = []
-    for block in blocks(texts, CHARS_PER_BLOCK):
+    for block in blocks(texts, CHARS_PER_BLOCK // 8):
         rows, words = numbered(block)
         flat, counts = features(words)
         starts = run_starts(counts)
@@ -79,8 +80,11 @@ class Model:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         rows, words = numbered(texts)
-        flat, counts = features(words)
-        sums = run_sums(self.weight[flat], counts)
+        sums, counts = np.zeros(len(words)), np.zeros(len(words), np.int64)
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            own = slice(at, at + WORDS_AT_ONCE)
+            flat, counts[own] = features(words[own])
+            sums[own] = run_sums(self.weight[flat], counts[own])
         out = np.empty(len(rows))
         for i, row in enumerate(rows):
             again = repeats(row)

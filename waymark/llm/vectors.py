@@ -13,7 +13,7 @@ from .common import ship_by_value
 
 ship_by_value(__name__)
 
-CHARS_PER_BLOCK = 16_000_000
+CHARS_PER_BLOCK = 6_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ROLL = np.uint64(0xD6E8FEB86659FD93)
 
