@@ -170,6 +170,32 @@ def test_near_groups_against_brute_force(spark, documents, size):
     assert in_order(got.collect()) == in_order(brute_groups(docs, size))
 
 
+@pytest.mark.parametrize("seed", [16623, 32923])
+def test_links_whose_signatures_agree_little_are_found(spark, documents, seed):
+    """Exactly 0.8 similar, 111 or 112 of 160 values agree, and one region of two holds them."""
+    draw = random.Random(seed)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(91)]
+    other = [f"n{draw.randrange(10**6)}" if i in (9, 29, 49, 69, 89) else w for i, w in enumerate(words)]
+    docs = [(1, " ".join(words)), (2, " ".join(other)), (3, "x y z")]
+    got = near.digest(spark, documents(docs), 2)
+    assert in_order(got.collect()) == in_order(brute_groups(docs, 2))
+
+
+def test_bucket_counts_leave_out_no_link():
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    texts = [edited(" ".join(words[:n]), share, draw) for n in (5, 90, 110, 400) for share in (0, 0.02, 0.05, 0.06, 0.3)]
+    sets = near.text_sets(texts, 2)
+    rows = [
+        {"doc_id": i, "label": i, "sketch": near.bucket_counts(x).tobytes(), "visitor": v}
+        for v in (False, True)
+        for i, x in enumerate(sets)
+    ]
+    met = {(v["doc_id"], x["doc_id"]) for v, partners in near._possible(iter(rows)) for x in partners}
+    links = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if i != j and near.similar(x, y)}
+    assert links <= met and len(links) > 10 and len(met) < len(sets) ** 2 / 2
+
+
 def test_near_dedup_keeps_one_of_each_group(spark, documents):
     text = " ".join(f"w{i}" for i in range(80))
     docs = documents([(3, text), (1, text), (1, text), (2, text + " z"), (4, "other"), (5, None), (5, None), (None, text)])

@@ -8,10 +8,11 @@ region is cut by the values that follow, deeper and deeper, so depth adapts to d
 In each region every class is also a candidate with the most central one, which finds
 the original among thousands of edited copies. Pairs of a region that are still in
 different groups after that are compared too (``rest_links``), so no link hangs on its
-place in an order.
+place in an order or on how well signatures agree.
 
-Candidates whose signatures agree too little are dropped; the others are confirmed on
-their full sets. Groups are connected components of the confirmed links.
+Candidates whose signatures agree too little wait for ``rest_links``, which leaves out
+only what sizes and bucket counts of the sets prove to be no link; all others are
+confirmed on their full sets. Groups are connected components of the confirmed links.
 
 Null texts and texts without words have empty sets and no links. Shorter texts have
 their whole word sequence as the only shingle. Repeated rows are in one group. Rows with
@@ -21,6 +22,8 @@ a null id get a null group and link nothing. Ids are whole numbers.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +43,8 @@ DEPTH = 5
 LEVELS = 4
 # The chance that a link's 2-bit sketches agree less than this is about one in ten thousand.
 LEAST_AGREEMENT = 0.66
-# For the last pairs whole signatures are compared. A link that is exactly 0.8 similar agrees
-# less than this in one of 200 cases, one of 0.85 in one of a million.
-LEAST_LAST_AGREEMENT = 0.72
+# Shingles are counted in so many buckets; the smaller counts of two sets bound what they share.
+BUCKETS = 128
 DENSE = 24
 PIECE = 500
 
@@ -71,8 +73,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (mixed(least) >> np.uint64(48)).astype(np.uint16)
 
 
+def bucket_counts(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles of a set are in each bucket."""
+    return np.bincount((mixed(shingles) >> np.uint64(32)).astype(np.int64) % BUCKETS, minlength=BUCKETS).astype(np.uint32)
+
+
 def signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (null if empty) and signature of every row."""
+    """doc_id, n_shingles, set_key (null if empty), signature and bucket counts of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,20 +88,21 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
                 sets = text_sets(block, size)
                 keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 signs = [signature(s).tobytes() if len(s) else None for s in sets]
+                buckets = [bucket_counts(s).tobytes() if len(s) else None for s in sets]
                 ids = batch.column("doc_id").slice(done, len(block))
                 done += len(block)
                 counts = pa.array([len(s) for s in sets], pa.int64())
-                columns = [ids, counts, pa.array(keys, pa.binary()), pa.array(signs, pa.binary())]
-                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_key", "signature"])
+                columns = [ids, counts, *[pa.array(x, pa.binary()) for x in (keys, signs, buckets)]]
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set_key", "signature", "buckets"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, signature binary")
+    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, signature binary, buckets binary")
 
 
 def forest_rows(classes: DataFrame, whole: bool = False) -> DataFrame:
     """One row for each class and order: region, the values that follow, and 2 bits of each value.
 
-    ``classes`` has doc_id, label (its group so far) and signature. With ``whole`` the
-    sketch is the signature itself.
+    ``classes`` has doc_id, label (its group so far), signature and buckets. With ``whole``
+    the sketch is the bucket counts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +113,7 @@ def forest_rows(classes: DataFrame, whole: bool = False) -> DataFrame:
             signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(n, VALUES)
             low = (signs & 3).astype(np.uint8).reshape(n, -1, 4)
             sketch = low[:, :, 0] | low[:, :, 1] << 2 | low[:, :, 2] << 4 | low[:, :, 3] << 6
-            sketches = batch.column("signature") if whole else pa.array([x.tobytes() for x in sketch], pa.binary())
+            sketches = batch.column("buckets") if whole else pa.array([x.tobytes() for x in sketch], pa.binary())
             for order in range(ORDERS):
                 columns = (order * DEPTH + np.arange(DEPTH + LEVELS)) % VALUES
                 own = signs[:, columns].astype(np.uint64)
@@ -289,13 +297,13 @@ def rest_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
     In a region with several groups, members of the largest one are compared with the
     others only, which are its visitors. Regions are cut into pieces of some ``PIECE``
     members and visitors go to every piece, so no task holds a large region. Classes
-    without a close partner in another group are left out.
+    that can't have a link to another group there are left out.
     """
     sizes = forest_rows(classes).groupBy("region", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed_regions = (
         sizes.groupBy("region")
         .agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("groups"), F.max(F.struct("n", "label")).alias("most"))
-        .where("groups > 1 AND total > 2")
+        .where("groups > 1")
         .select("region", F.col("most.label").alias("largest"), F.ceil(F.col("total") / PIECE).cast("int").alias("pieces"))
     )
     rows = forest_rows(classes, whole=True).join(small_side(spark, mixed_regions), "region")
@@ -303,12 +311,13 @@ def rest_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["region", "piece"]):
-            found = {}
-            for visitor, partners in _close(group):
+            found, largest = {}, None
+            for visitor, partners in _possible(group):
+                largest = visitor["largest"]
                 found[visitor["doc_id"]] = (visitor["label"], True)
                 for x in partners:
                     found.setdefault(x["doc_id"], (x["label"], False))
-            rows = [(group[0]["largest"], doc_id, *marks) for doc_id, marks in sorted(found.items())]
+            rows = [(largest, doc_id, *marks) for doc_id, marks in sorted(found.items())]
             columns = list(zip(*rows, strict=True)) or [()] * 4
             kinds = [*[pa.int64()] * 3, pa.bool_()]
             yield pa.record_batch(
@@ -327,14 +336,14 @@ def rest_links(spark: SparkSession, classes: DataFrame, docs: DataFrame, size: i
     members = kept_table(spark, rest_members(spark, classes), "rest")
     sets = kept_table(spark, full_sets(docs, members.select("doc_id").distinct(), size), "sets")
     counts = members.groupBy("largest").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("pieces"))
-    signs = classes.select("doc_id", F.col("signature").alias("sketch"))
+    signs = classes.select("doc_id", F.col("buckets").alias("sketch"))
     rows = members.join(small_side(spark, counts), "largest").join(signs, "doc_id").join(sets, "doc_id")
     met = _with_visitors(rows, F.col("visits"), ["largest"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["largest", "piece"]):
             links = set()
-            for visitor, partners in _close(group):
+            for visitor, partners in _possible(group):
                 own = np.frombuffer(visitor["shingles"], np.uint64)
                 for x in partners:
                     if similar(own, np.frombuffer(x["shingles"], np.uint64)):
@@ -351,42 +360,46 @@ def _with_visitors(rows: DataFrame, visits: Column, by: list[str]) -> DataFrame:
     members = rows.withColumns({"piece": own, "visitor": F.lit(False)})
     visitors = rows.where(visits).withColumn("visitor", F.lit(True))
     visitors = visitors.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    return members.unionByName(visitors).repartition(*by, "piece").sortWithinPartitions(*by, "piece")
+    return members.unionByName(visitors).repartition(*by, "piece").sortWithinPartitions(*by, "piece", "visitor")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[list[dict]]:
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[Iterator[dict]]:
     """Runs of rows with the same key, from rows in order."""
-    group: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if group and any(group[0][c] != row[c] for c in by):
-                yield group
-                group = []
-            group.append(row)
-    if group:
-        yield group
-
-
-def _close(group: list[dict]) -> Iterator[tuple[dict, list[dict]]]:
-    """Each visitor with the members of other groups whose signatures agree enough."""
-    members = [r for r in group if not r["visitor"]]
-    if not members:
-        return
-    signs = np.frombuffer(b"".join(r["sketch"] for r in members), np.uint16).reshape(len(members), -1)
-    labels = np.array([r["label"] for r in members], np.int64)
+    rows = (row for batch in batches for row in batch.to_pylist())
+    return (group for _, group in groupby(rows, itemgetter(*by)))
+
+
+def _possible(group: Iterator[dict]) -> Iterator[tuple[dict, list[dict]]]:
+    """Each visitor with the members of other groups that can be links. Members come first.
+
+    Two sets share at most the sum of the smaller bucket counts, so no link is left out.
+    """
+    members: list[dict] = []
+    counts = None
     for row in group:
-        if row["visitor"]:
-            agree = (signs == np.frombuffer(row["sketch"], np.uint16)).sum(axis=1)
-            at = np.flatnonzero((agree >= LEAST_LAST_AGREEMENT * VALUES) & (labels != row["label"]))
-            if len(at):
-                yield row, [members[i] for i in at.tolist()]
+        if not row["visitor"]:
+            members.append(row)
+            continue
+        if not members:
+            return
+        if counts is None:
+            counts = np.frombuffer(b"".join(r["sketch"] for r in members), np.uint32).reshape(len(members), -1)
+            sizes, labels = counts.sum(axis=1, dtype=np.int64), np.array([r["label"] for r in members], np.int64)
+        own = np.frombuffer(row["sketch"], np.uint32)
+        size = int(own.sum(dtype=np.int64))
+        enough = 100 * np.minimum(sizes, size) >= SIMILAR * np.maximum(sizes, size)
+        at = np.flatnonzero(enough & (labels != row["label"]))
+        shared = np.minimum(counts[at], own).sum(axis=1, dtype=np.int64)
+        at = at[(100 + SIMILAR) * shared >= SIMILAR * (sizes[at] + size)]
+        if len(at):
+            yield row, [members[i] for i in at.tolist()]
 
 
 def labelled(classes: DataFrame, labels: DataFrame) -> DataFrame:
     """The classes with their group so far: a label, or their own id."""
     found = labels.withColumnsRenamed({"doc_id": "own", "label": "found"})
     joined = classes.join(found, F.col("doc_id") == F.col("own"), "left")
-    return joined.select("set_key", "doc_id", F.coalesce("found", "doc_id").alias("label"), "signature")
+    return joined.select("set_key", "doc_id", F.coalesce("found", "doc_id").alias("label"), "signature", "buckets")
 
 
 def grouped(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
@@ -397,7 +410,7 @@ def grouped(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
         spark,
         marked.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")),
+        .agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("signature", "buckets")]),
         "classes",
     )
     alone = classes.withColumn("label", F.col("doc_id"))
