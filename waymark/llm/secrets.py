@@ -1,8 +1,9 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 12 or more characters of keys and tokens with a digit in it. Its
-features are its length, changes of character class, share covered by dictionary words,
-signs of a path or address around it, and the words next to it. The forest learns from
+A candidate is a run of 12 or more characters of keys and tokens, or any 6 or more
+characters without a space that follow a secret's name and = or :. Its features are its
+length, changes of character class, shares of digits, vowels and punctuation, share covered
+by dictionary words, signs of a path or address around it, and the words next to it. The forest learns from
 labelled findings, kept as rules that state what is and what is not a secret, from
 which Spark makes ``FINDINGS`` examples. Confirmed secrets are replaced in the text.
 
@@ -21,7 +22,6 @@ from pyspark.sql import functions as F
 
 from .common import kept_table, row_key, with_results
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
 MASK = "<SECRET>"
 BEFORE, AFTER = 40, 20
 FINDINGS = 3000
@@ -41,8 +41,21 @@ SECRET_WORDS = """password passwd passwort pwd token secret apikey api_key api-k
     aws_secret key""".split()
 PLAIN_WORDS = """commit sha sha1 sha256 md5 checksum digest hash uuid guid id version build card iban phone
     tel isbn order invoice serial page http https www href src img etag revision integrity""".split()
-FEATURES = """size changes coverage digits uppers distinct hex base32 dashes path address named plain
-    assigned quoted""".split()
+FEATURES = """size changes coverage digits uppers vowels marks distinct hex base32 dashes path address named
+    plain assigned quoted issued""".split()
+
+# After a secret's name and = or :, what is in quotes, or up to a space, the next field or closing marks.
+_NAMED = "(?<![A-Za-z0-9])(?i:" + "|".join(SECRET_WORDS) + r")[\"'`]?\s{0,3}(?:=>|[=:])\s{0,3}"
+_FIELD_END = r"[&,;][\w\"'-]+[=:]|</|[,;.)\]}]+(?:\s|\z)"
+_VALUE = "|".join(
+    [rf"(?<={_NAMED}{q})[^{q}\s]{{6,}}" for q in "\"'`"]
+    + [rf"(?<={_NAMED})(?![\"'`=>])(?:(?!{_FIELD_END})\S){{6,}}"]
+)
+# The short lookbehinds come first, so names are only looked for after = or :.
+CANDIDATE = (
+    rf"(?<=[=:>\s\"'`])(?<=[=:>]\s{{0,3}}[\"'`]?)(?:{_VALUE})"
+    r"|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}(?:={1,2}(?![\w\"'`+/=]))?"
+)
 
 
 def _any(words: list[str]) -> str:
@@ -64,6 +77,8 @@ def features() -> dict[str, Column]:
         "coverage": 1 - F.length(F.regexp_replace(F.lower(value), "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")) / F.length(value),
         "digits": _share(value, "0-9"),
         "uppers": _share(value, "A-Z"),
+        "vowels": _share(value, "aeiouyAEIOUY"),
+        "marks": 1 - _share(value, "A-Za-z0-9"),
         "distinct": F.size(F.array_distinct(F.split(F.lower(value), ""))) / F.length(value),
         "hex": value.rlike("^([0-9a-f]+|[0-9A-F]+)$"),
         "base32": value.rlike("^[0-9A-Z]+$"),
@@ -74,6 +89,7 @@ def features() -> dict[str, Column]:
         "plain": near.rlike(_any(PLAIN_WORDS) + r"\W{0,4}$"),
         "assigned": before.rlike(r"[=:]\s*[\"'`]?$"),
         "quoted": before.rlike("[\"'`]$"),
+        "issued": value.rlike("^(A[KS]IA[A-Z2-7]{16}$|gh[pousr]_|sk[-_]|xox[abprs]-|AIza)"),
     }
 
 
@@ -84,8 +100,7 @@ def _assembled(findings: DataFrame) -> DataFrame:
 
 def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     """value, before, after and label (1.0 a secret), made by rules from the row's number."""
-    i = F.col("id").cast("string")
-    hexes = F.sha2(i, 512)
+    i, hexes = F.col("id").cast("string"), F.col("hexes")
     word = F.get(F.array(*[F.lit(w) for w in DICTIONARY]), F.pmod(F.xxhash64("id"), F.lit(len(DICTIONARY))).cast("int"))
     other = F.get(F.array(*[F.lit(w) for w in DICTIONARY]), F.pmod(F.xxhash64(i), F.lit(len(DICTIONARY))).cast("int"))
     mixed = F.regexp_replace(F.base64(F.unhex(hexes)), "[=]", "")
@@ -95,6 +110,22 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     plain = F.get(F.array(*[F.lit(w) for w in PLAIN_WORDS]), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(len(PLAIN_WORDS))).cast("int"))
     prose = F.concat_ws(" ", other, word, F.lit(""))
     length = 16 + F.pmod(F.xxhash64("id", F.lit(3)), F.lit(49)).cast("int")
+    short = 6 + F.pmod(length, F.lit(7))
+    letters = F.regexp_replace(mixed, "[^A-Za-z]", "")
+    capitals = F.regexp_replace(F.translate(base32, "ABCDEF", "JRTVXZ"), "[0-9]", "")
+    lowers = F.translate(hexes, "0123456789abcdef", "qwrtzpsdfghjkeio")
+    marked = F.concat(F.substring(mixed, 1, 2), F.lit("@"), F.substring(mixed, F.lit(3), short - 4), F.lit("!."), F.substring(mixed, 40, 1))
+    spoken = F.col("spoken")
+    syllables = F.array_join(
+        F.transform(
+            F.sequence(F.lit(1), 6 + F.pmod(length, F.lit(5))),
+            lambda j: F.concat(
+                F.translate(F.substring(hexes, j, F.lit(1)), "0123456789abcdef", "bdfgklmnprstvczh"),
+                F.translate(F.substring(hexes, j + 64, F.lit(1)), "0123456789abcdef", "aeiouaeiouaeiern"),
+            ),
+        ),
+        "",
+    )
     # (label, before, value, after)
     cases = [
         (1, F.concat(prose, named, F.lit("=")), F.substring(hexes, F.lit(1), length), F.lit(" ")),
@@ -105,6 +136,23 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         (1, prose, F.concat(F.lit("ASIA"), F.substring(F.translate(base32, "ABCDEF", "JRTVXZ"), 1, 16)), F.lit(".")),
         (1, prose, F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.lit(" ")),
         (1, prose, F.substring(mixed, F.lit(1), length + 12), F.lit(" ")),
+        (1, prose, F.concat(F.lit("AKIA"), F.substring(capitals, 1, 16)), F.lit(" ")),
+        (1, prose, F.substring(letters, F.lit(1), 20 + F.pmod(length, F.lit(13))), F.lit(" ")),
+        (1, F.concat(prose, named, F.lit("=")), F.substring(mixed, F.lit(1), short), F.lit(" ")),
+        (1, F.concat(prose, named, F.lit(": ")), marked, F.lit(" ")),
+        (1, F.concat(prose, named, F.lit('="')), F.substring(letters, F.lit(1), short), F.lit('" ')),
+        (1, F.concat(prose, named, F.lit("=")), F.substring(lowers, F.lit(1), short + 2), F.lit(" ")),
+        (0, prose, spoken, F.lit(" ")),
+        (0, prose, F.initcap(spoken), F.lit(", ")),
+        (0, prose, F.upper(spoken), F.lit("!! ")),
+        (0, prose, F.upper(F.concat_ws("_", word, other, word)), F.lit(" ")),
+        (0, prose, F.concat_ws("-", word, spoken, other), F.lit(" ")),
+        (0, prose, F.concat(word, F.initcap(other), F.initcap(word)), F.lit("(")),
+        (0, prose, F.concat_ws("_", F.lit("aws"), named, other), F.lit("=")),
+        (0, F.concat(prose, named, F.lit(": ")), F.concat(word, other), F.lit(" ")),
+        (0, F.concat(prose, F.lit("Authorization: ")), F.lit("Bearer"), F.lit(" ")),
+        (0, F.concat(prose, named, F.lit("=")), F.concat(F.lit("${"), F.upper(word), F.lit("}")), F.lit(" ")),
+        (0, F.concat(prose, named, F.lit(": ")), F.repeat(F.lit("*"), 8), F.lit(" ")),
         (0, prose, F.substring(number, 1, 16), F.lit(" ")),
         (0, prose, F.substring(number, F.lit(1), F.pmod(length, F.lit(9)) + 12), F.lit(" ")),
         (0, prose, F.concat_ws("-", word, other, F.substring(number, 1, 4)), F.lit(" ")),
@@ -123,31 +171,41 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         for label, before, value, after in cases
     ]
     picked = F.get(F.array(*entry), F.pmod("id", F.lit(len(cases))).cast("int"))
-    return spark.range(0, rows, 1, 2).select(picked.alias("x")).select("x.*").where(F.length("value") >= 8)
+    drawn = spark.range(0, rows, 1, 2).withColumn("hexes", F.sha2(i, 512)).withColumn("spoken", syllables)
+    # Written once, else the forest's passes and each feature work out all cases again.
+    drawn = kept_table(spark, drawn, "drawn")
+    return drawn.select(picked.alias("x")).select("x.*").where(F.length("value") >= 6)
 
 
 def fit(spark: SparkSession, findings: DataFrame | None = None) -> RandomForestClassificationModel:
     """A forest on labelled findings (value, before, after, label), by default those made by rule."""
-    rows = _assembled(findings if findings is not None else labelled_findings(spark))
+    rows = _assembled(findings if findings is not None else kept_table(spark, labelled_findings(spark), "examples"))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=TREE_DEPTH, seed=7)
     return forest.fit(rows.select("features", "label"))
 
 
 def candidate_rows(docs: DataFrame) -> DataFrame:
     """doc_id, row_key, place, value, before and after of every candidate of every row."""
-    parts = F.split("text", CANDIDATE)
-    values = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
-    rows = docs.where(F.col("text").rlike(CANDIDATE)).select(
-        "doc_id", row_key().alias("row_key"), parts.alias("parts"), values.alias("values")
+    # What stands around a value goes on over other candidates, which can be its name.
+    parts, values = F.col("parts"), F.col("values")
+    text = lambda array, at: F.coalesce(F.get(array, at), F.lit(""))
+    beside = lambda i, steps: [x for k in steps for x in (text(parts, i + k), text(values, i + k))]
+    found = F.transform(
+        values,
+        lambda v, i: F.struct(
+            i.alias("place"),
+            v.alias("value"),
+            F.right(F.concat(*beside(i, (-3, -2, -1)), text(parts, i)), F.lit(BEFORE)).alias("before"),
+            F.left(F.concat(*beside(i, (1, 2)), text(parts, i + 3)), F.lit(AFTER)).alias("after"),
+        ),
     )
-    return rows.select("doc_id", "row_key", "parts", F.posexplode("values").alias("place", "value")).select(
+    rows = docs.where(F.col("text").rlike(CANDIDATE)).select(
         "doc_id",
-        "row_key",
-        "place",
-        "value",
-        F.right(F.get("parts", F.col("place")), F.lit(BEFORE)).alias("before"),
-        F.left(F.get("parts", F.col("place") + 1), F.lit(AFTER)).alias("after"),
+        row_key().alias("row_key"),
+        F.split("text", CANDIDATE).alias("parts"),
+        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("values"),
     )
+    return rows.select("doc_id", "row_key", F.inline(found))
 
 
 def findings(spark: SparkSession, docs: DataFrame, model: RandomForestClassificationModel | None = None) -> DataFrame:
