@@ -292,6 +292,14 @@ def test_main_text(spark):
     assert [got[i].text for i in (203, 204, 205)] == ["one\n\ntw", "a & b", "t"]
 
 
+@pytest.mark.parametrize(
+    "tag", ["div class='content has-sidebar'", "div id='layout-with-sidebar'", "article class='post comments-open'", "article class='sponsored'"]
+)
+def test_a_class_that_names_something_else_marks_nothing(tag):
+    page = f"<body><div class='sidebar'>side</div><{tag}><p>text</p></{tag.split()[0]}><article class='comment'>reader</article></body>"
+    assert [x for x, kind in webtext.page_lines(page) if kind != webtext.TEMPLATE] == ["text"]
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     draw = random.Random(7)
     for _ in range(200):

@@ -64,6 +64,14 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 OUTSIDE, MAIN, TEMPLATE = 0, 1, 2
 
 
+def _own_words(value: str) -> list[str]:
+    """Words of a class or id that name the element, not what it has, lacks or has open."""
+    words = WORD.findall(value)
+    if words and words[-1] in ("open", "closed"):
+        return []
+    return words[: next((i for i, x in enumerate(words) if x in ("has", "with", "no", "without")), len(words))]
+
+
 def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
     """Whether an element is no article text, and whether it holds reader comments."""
     words, aside = set(), name in ASIDE or (name == "header" and not in_main)
@@ -71,7 +79,7 @@ def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
         for key, *values in ATTRIBUTE.findall(rest):
             key, value = key.lower(), "".join(values).lower()
             if key in ("class", "id"):
-                words.update(WORD.findall(value))
+                words.update(word for one in value.split() for word in _own_words(one))
             elif key == "role":
                 aside |= value in ASIDE_ROLES
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
@@ -80,7 +88,8 @@ def _marks(name: str, rest: str, in_main: bool) -> tuple[bool, bool]:
                 aside |= "display:none" in value.replace(" ", "")
     found = words & ASIDE_WORDS
     if found and not (found <= {"header"} and (words & OWN_WORDS or in_main)):
-        aside |= name not in ("body", "html", "main")
+        # Of articles only those of readers are marked by a class.
+        aside |= name not in ("body", "html", "main", "article") or (name == "article" and bool(words & COMMENT_WORDS))
     return aside, bool(words & COMMENT_WORDS)
 
 
