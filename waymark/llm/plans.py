@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, near, quality, search, secrets, sharding, substrings, webtext
+from . import bpe, decontaminate, language, lines, near, quality, search, secrets, sharding, substrings, webtext
 from .common import Query, table
 
 
@@ -164,6 +164,26 @@ def op10_webtext(spark: SparkSession, root: str) -> DataFrame:
     return webtext.extracted(table(spark, root, "pages"))
 
 
+@query
+def op13_lines(spark: SparkSession, root: str) -> DataFrame:
+    return lines.digest(spark, table(spark, root, "documents"))
+
+
+ORACLES["op13_lines"] = r"""
+WITH lines AS (
+  SELECT doc_id, place, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+repeated AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT lines.*, coalesce(doc_id <> last, false) AS gone FROM lines LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+
 @query
 def pipeline(spark: SparkSession, root: str) -> DataFrame:
     return corpus_pipeline.run(spark, root)
