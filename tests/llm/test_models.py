@@ -36,9 +36,9 @@ def test_registered_query_against_sql(spark, name):
     duck = duckdb.connect()
     for file in os.listdir(ROOT):
         duck.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{ROOT}/{file}'")
-    got = contract.queries()[name](spark, ROOT).toPandas()
-    expected = duck.execute(contract.oracle_sql()[name]).df()[list(got.columns)]
-    rows = lambda df: sorted(map(tuple, df.itertuples(index=False)), key=repr)
+    got = contract.queries()[name](spark, ROOT).toArrow()
+    expected = duck.execute(contract.oracle_sql()[name]).to_arrow_table().select(got.schema.names)
+    rows = lambda found: sorted((tuple(row.values()) for row in found.to_pylist()), key=repr)
     assert rows(got) == rows(expected)
 
 

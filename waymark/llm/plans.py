@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, lines, near, quality, search, secrets, sharding, substrings, webtext
+from . import alignment, bpe, decontaminate, language, lines, near, periodic, quality, search, secrets, sharding, substrings, webtext
 from .common import Query, table
 
 
@@ -164,6 +165,64 @@ def op10_webtext(spark: SparkSession, root: str) -> DataFrame:
     return webtext.extracted(table(spark, root, "pages"))
 
 
+@query
+def op11_periodic(spark: SparkSession, root: str) -> DataFrame:
+    return periodic.digest(table(spark, root, "documents"))
+
+
+# Words d apart that begin six equal words, in a row without a gap, are one stretch of period d.
+ORACLES["op11_periodic"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM documents
+  UNION ALL
+  SELECT doc_id, s, i + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END
+  FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(s[i // 8 + 1]) AS BIGINT)) ELSE c END AS x
+        FROM crc WHERE i < 8 * length(s))),
+hashes AS (SELECT doc_id, xor(c, CAST(4294967295 AS BIGINT)) AS h FROM crc WHERE i = 8 * length(s)),
+texts AS (
+  SELECT doc_id, h, h // 10 AS g, list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'),
+           lambda x: x <> '') AS w FROM documents JOIN hashes USING (doc_id)),
+loops AS (
+  SELECT *, len(w) AS n, g % greatest(len(w), 1) AS a,
+         1 + (len(w) - g % greatest(len(w), 1)) // (3 + g % 8) AS p FROM texts),
+docs AS (
+  SELECT doc_id, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i:
+           w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS words FROM loops),
+grams AS (
+  SELECT doc_id, i, array_to_string(words[i + 1:i + 6], ' ') AS gram
+  FROM (SELECT *, unnest(range(greatest(len(words) - 5, 0))) AS i FROM docs)),
+pairs AS (
+  SELECT x.doc_id, y.i - x.i AS d, x.i AS i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS part
+  FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+runs AS (
+  SELECT doc_id, start, length, min(d) AS period
+  FROM (SELECT doc_id, d, min(i) AS start, count(*) + 5 + d AS length FROM pairs GROUP BY doc_id, d, part)
+  WHERE length >= 2 * d AND length >= 12 GROUP BY ALL),
+best AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_runs,
+         row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) AS place FROM runs),
+listed AS (
+  SELECT doc_id, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS x
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS x
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM docs)
+  ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT docs.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, CAST(length AS BIGINT) AS length, period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed.x, '')) AS runs_sha256, sha256(coalesce(kept.x, '')) AS collapsed_sha256
+FROM docs LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (doc_id)
+  LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op12_alignment(spark: SparkSession, root: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digest(spark, table(spark, root, "documents"), *paths)
+
+
 @query
 def op13_lines(spark: SparkSession, root: str) -> DataFrame:
     return lines.digest(spark, table(spark, root, "documents"))
