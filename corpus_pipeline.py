@@ -40,8 +40,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids of the whole text, their number, and the text decoded from them."""
-    encoded = bpe.encode(docs, TOKENIZER).withColumn("n_tokens", F.size("ids").cast("bigint"))
-    return bpe.decode(encoded, TOKENIZER)
+    return bpe.encode_decode(docs, TOKENIZER)
 
 
 STAGES = [

@@ -207,3 +207,21 @@ def test_stages_return_the_columns_of_documents(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, ROOT).columns == docs.columns, name
         assert stage(spark, docs.where("doc_id < 0"), ROOT).count() == 0, name
+
+
+def test_decoded_stage_against_the_library_with_a_long_text(spark, documents):
+    """One text of 5 MB among short ones, nulls and repeated ids; equal to encoding and decoding one after the other."""
+    texts = [*EDGES, "the quick brown fox's 12 jumps\n" * 160_000, "short"]
+    docs = documents([*enumerate(texts), (3, "again"), (None, "x")])
+    rows = corpus_pipeline.bpe_stage(spark, docs, ROOT)
+    assert rows.columns == ["doc_id", "ids", "n_tokens", "decoded"]
+    library = Tokenizer.from_file(PATH)
+    expected = []
+    for doc_id, text in [*enumerate(texts), (3, "again"), (None, "x")]:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        expected.append((doc_id, len(ids), hashlib.sha256(str(ids).encode()).hexdigest(), library.decode(ids, skip_special_tokens=False)))
+    got = [(r.doc_id, r.n_tokens, hashlib.sha256(str(list(r.ids)).encode()).hexdigest(), r.decoded) for r in rows.toLocalIterator()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    steps = bpe.decode(bpe.encode(docs, PATH), PATH).select("doc_id", "ids", "decoded").collect()
+    assert sorted(map(repr, steps)) == sorted(map(repr, rows.select("doc_id", "ids", "decoded").collect()))
+    assert corpus_pipeline.bpe_stage(spark, documents([]), ROOT).count() == 0

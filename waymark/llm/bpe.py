@@ -32,6 +32,10 @@ from .vectors import blocks, run_starts, spread
 
 ship_by_value(__name__)
 
+# What a task holds at a time: characters that are encoded together, tokens of one record batch.
+CHARS_PER_ENCODED_BLOCK = 1_000_000
+TOKENS_PER_BATCH = 200_000
+
 # The white space of the Unicode property of that name.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_SPLIT = re.compile(f"[{WHITE}]+")
@@ -195,21 +199,51 @@ def decode_ids(ids: np.ndarray, tokenizer: Tokenizer) -> str:
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ids (array of int) of every row."""
+    return _encoded(docs, path, doc_id, text, False).select("doc_id", "ids")
+
+
+def encode_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ids, n_tokens and the text decoded from the ids, in one pass: equal to ``decode`` of ``encode``."""
+    return _encoded(docs, path, doc_id, text, True)
+
+
+def _encoded(docs: DataFrame, path: str, doc_id: str, text: str, with_text: bool) -> DataFrame:
+    """Rows leave in record batches of some ``TOKENS_PER_BATCH``, so a task holds one block and one batch."""
 
     def run(batches):
         tokenizer = Tokenizer(path)
         for batch in batches:
             done = 0
-            for block in blocks(batch.column("text").to_pylist()):
-                ids = [x.astype(np.int32) for x in encode_texts(block, tokenizer)]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int32), *ids]))
-                yield pa.record_batch([batch.column("doc_id").slice(done, len(block)), lists], ["doc_id", "ids"])
-                done += len(block)
+            for block in blocks(batch.column("text").to_pylist(), CHARS_PER_ENCODED_BLOCK):
+                for ids in token_batches(encode_texts(block, tokenizer)):
+                    own = batch.column("doc_id").slice(done, len(ids))
+                    done += len(ids)
+                    counts = np.array([len(x) for x in ids], np.int64)
+                    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    columns = [own, pa.ListArray.from_arrays(offsets, np.concatenate(ids)), pa.array(counts)]
+                    names = ["doc_id", "ids", "n_tokens"]
+                    if with_text:
+                        columns.append(pa.array([decode_ids(x, tokenizer) for x in ids], pa.string()))
+                        names.append("decoded")
+                    yield pa.record_batch(columns, names)
 
     rows = picked(docs, doc_id, text)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    schema = f"doc_id {kind}, ids array<int>, n_tokens bigint"
+    return rows.mapInArrow(run, f"{schema}, decoded string" if with_text else schema)
+
+
+def token_batches(rows: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Consecutive rows of ids, as many as have ``TOKENS_PER_BATCH`` tokens, and one at least."""
+    held, size = [], 0
+    for ids in rows:
+        held.append(ids.astype(np.int32))
+        size += len(ids)
+        if size >= TOKENS_PER_BATCH:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -221,8 +255,14 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
             column = batch.column(ids)
             counts = column.value_lengths().fill_null(0).to_numpy()
             flat = column.flatten().to_numpy()
-            texts = [decode_ids(flat[i : i + n], tokenizer) for i, n in zip(run_starts(counts), counts, strict=True)]
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
+            starts = run_starts(counts)
+            # Rows are cut where the tokens before them pass a bound.
+            part = starts // TOKENS_PER_BATCH
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(counts)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                texts = [decode_ids(flat[i : i + n], tokenizer) for i, n in zip(starts[a:b], counts[a:b], strict=True)]
+                rows = batch.slice(a, b - a)
+                yield pa.record_batch([*rows.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{schema}, `{out}` string")
