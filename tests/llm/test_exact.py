@@ -196,12 +196,38 @@ def test_bucket_counts_leave_out_no_link():
     assert links <= met and len(links) > 10 and len(met) < len(sets) ** 2 / 2
 
 
+def test_components_against_union_find(spark):
+    draw = random.Random(8)
+    chain = [(i, i + 1) for i in range(60)]  # hooks only ever lead one step down
+    links = [*chain, *[(draw.randint(100, 300), draw.randint(100, 300)) for _ in range(90)], (500, 400), (500, 401), (400, 402)]
+    links = [(min(x), max(x)) for x in links if x[0] != x[1]]
+    root = {i: i for pair in links for i in pair}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    expected = {i: find(i) for i in root}
+    df = spark.createDataFrame(links, "a BIGINT, b BIGINT")
+    assert {r.doc_id: r.label for r in near.components(spark, df).collect()} == expected
+    known = near.components(spark, df.where("a % 3 = 0"))
+    assert {r.doc_id: r.label for r in near.components(spark, df, known).collect()} == expected
+    assert near.components(spark, df.where("a < 0")).count() == 0
+
+
 def test_near_dedup_keeps_one_of_each_group(spark, documents):
     text = " ".join(f"w{i}" for i in range(80))
-    docs = documents([(3, text), (1, text), (1, text), (2, text + " z"), (4, "other"), (5, None), (5, None), (None, text)])
+    rows = [(3, text), (1, text), (1, text), (2, text + " z"), (4, "other"), (5, None), (5, None), (None, text)]
+    rows += [(3, None), (3, " \n"), (1, ""), (6, "some words"), (6, None)]
+    docs = documents(rows)
     kept = near.kept_documents(spark, docs)
     assert kept.columns == docs.columns
-    assert in_order((r.doc_id,) for r in kept.collect()) == in_order([(1,), (4,), (5,), (5,), (None,)])
+    expected = [(1, text), (4, "other"), (5, None), (5, None), (None, text), (3, None), (3, " \n"), (1, ""), (6, "some words"), (6, None)]
+    assert in_order((r.doc_id, r.text) for r in kept.collect()) == in_order(expected)
     assert near.kept_documents(spark, docs.where("doc_id < 0")).count() == 0
 
 

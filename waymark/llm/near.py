@@ -209,7 +209,10 @@ def candidates(forest: DataFrame) -> DataFrame:
 
 
 def distinct_pairs(found: DataFrame) -> DataFrame:
-    """Each pair once. Pieces of a region are few, at most three ids for each end of a partition."""
+    """Each pair once, with the number of times it was found.
+
+    Pieces of a region are few, at most three ids for each end of a partition.
+    """
     pieces = found.where("b IS NULL").groupBy("region").agg(F.array_sort(F.collect_set("a")).alias("ids"))
     steps = F.transform(
         F.sequence(F.lit(1), F.size("ids") - 1),
@@ -217,7 +220,14 @@ def distinct_pairs(found: DataFrame) -> DataFrame:
     )
     joined = pieces.where(F.size("ids") > 1).select(F.explode(steps).alias("p")).select("p.a", "p.b", F.lit(True).alias("central"))
     pairs = found.where("b IS NOT NULL").select("a", "b", "central").unionByName(joined)
-    return pairs.groupBy("a", "b").agg(F.max("central").alias("central"))
+    return pairs.groupBy("a", "b").agg(F.max("central").alias("central"), F.count(F.lit(1)).alias("times"))
+
+
+def first_pairs(pairs: DataFrame) -> DataFrame:
+    """For each class the central pair that was found most often, so at most one pair for each class."""
+    best = F.max(F.struct("times", (-F.col("a")).alias("a"), (-F.col("b")).alias("b"))).alias("best")
+    ends = pairs.where("central").select(F.explode(F.array("a", "b")).alias("doc_id"), "times", "a", "b")
+    return ends.groupBy("doc_id").agg(best).select((-F.col("best.a")).alias("a"), (-F.col("best.b")).alias("b")).distinct()
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
@@ -257,38 +267,60 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def components(spark: SparkSession, links: DataFrame) -> DataFrame:
+def components(spark: SparkSession, links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """doc_id and the smallest id it reaches, for every document with a link.
 
-    Each round takes the smallest label among neighbours and then that label's own
-    label, and stops when nothing changes.
+    ``known`` has the groups by links seen before. Each round hooks every end of a link to
+    its smallest neighbour, follows the hooks to their roots, and goes on with the links
+    between different roots only, so a round joins far fewer links than the one before.
     """
-    both = kept_table(
-        spark, links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links"
-    )
-    labels = kept_table(
-        spark, both.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels"
-    )
+    if known is not None:
+        links = _between(links, known)
+    links = kept_table(spark, links.select("a", "b").distinct(), "links")
+    while not links.isEmpty():
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = both.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
+        hooks = _roots(spark, kept_table(spark, hooks, "hooks"))
+        known = hooks if known is None else kept_table(spark, _relabelled(known, hooks), "labels")
+        links = kept_table(spark, _between(links, hooks), "links")
+    return known if known is not None else links.select(F.col("a").alias("doc_id"), F.col("b").alias("label"))
+
+
+def _roots(spark: SparkSession, hooks: DataFrame) -> DataFrame:
+    """Each id with the root of its hooks; every round doubles the steps."""
     while True:
-        near = both.join(labels.withColumnRenamed("doc_id", "b"), "b").select(F.col("a").alias("doc_id"), "label")
-        least = near.unionByName(labels).groupBy("doc_id").agg(F.min("label").alias("label"))
-        least = kept_table(spark, least, "labels")
-        own = least.select(F.col("doc_id").alias("label"), F.col("label").alias("next"))
-        jumped = least.join(own, "label", "left").select("doc_id", F.least("label", "next").alias("label"))
-        jumped = kept_table(spark, jumped, "labels")
-        old = labels.withColumnRenamed("label", "old")
-        if jumped.join(old, "doc_id").where("label <> old").isEmpty():
-            return jumped
-        labels = jumped
+        own = hooks.select(F.col("doc_id").alias("label"), F.col("label").alias("next"))
+        jumped = hooks.join(own, "label").select("doc_id", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved"))
+        jumped = kept_table(spark, jumped, "hooks")
+        if jumped.where("moved").isEmpty():
+            return jumped.drop("moved")
+        hooks = jumped.drop("moved")
+
+
+def _relabelled(known: DataFrame, hooks: DataFrame) -> DataFrame:
+    """The groups after their labels were hooked, and ids that had none before."""
+    moved = hooks.select(F.col("doc_id").alias("old"), F.col("label").alias("new"))
+    again = known.join(moved, F.col("label") == F.col("old"), "left").select("doc_id", F.coalesce("new", "label").alias("label"))
+    return again.unionByName(hooks.join(known.select("doc_id"), "doc_id", "left_anti"))
+
+
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links between different groups, as pairs of labels."""
+    joined = _with_labels(links, labels).where("label_a <> label_b")
+    return joined.select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")).distinct()
+
+
+def _with_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """a and b of each pair with their groups so far, which are their own ids without a label."""
+    a = labels.select(F.col("doc_id").alias("a"), F.col("label").alias("of_a"))
+    b = labels.select(F.col("doc_id").alias("b"), F.col("label").alias("of_b"))
+    joined = pairs.select("a", "b").join(a, "a", "left").join(b, "b", "left")
+    return joined.select("a", "b", F.coalesce("of_a", "a").alias("label_a"), F.coalesce("of_b", "b").alias("label_b"))
 
 
 def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs whose ends are in different groups so far."""
-    a = labels.select(F.col("doc_id").alias("a"), F.col("label").alias("label_a"))
-    b = labels.select(F.col("doc_id").alias("b"), F.col("label").alias("label_b"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    apart = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
-    return joined.where(apart).select("a", "b")
+    return _with_labels(pairs, labels).where("label_a <> label_b").select("a", "b")
 
 
 def rest_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
@@ -331,7 +363,8 @@ def rest_members(spark: SparkSession, classes: DataFrame) -> DataFrame:
 def rest_links(spark: SparkSession, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """Links between groups that no candidate pair has found, confirmed on full sets.
 
-    Sets travel once for each piece of a group that a class is in or visits; only links come out.
+    Sets travel once for each piece of a group that a class is in or visits. A pair whose
+    groups a link of the piece has joined already is left out, so fewer links than groups come out.
     """
     members = kept_table(spark, rest_members(spark, classes), "rest")
     sets = kept_table(spark, full_sets(docs, members.select("doc_id").distinct(), size), "sets")
@@ -342,13 +375,21 @@ def rest_links(spark: SparkSession, classes: DataFrame, docs: DataFrame, size: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["largest", "piece"]):
-            links = set()
+            links, root = [], {}
+
+            def find(label: int) -> int:
+                while (up := root.get(label, label)) != label:
+                    label = up
+                return label
+
             for visitor, partners in _possible(group):
                 own = np.frombuffer(visitor["shingles"], np.uint64)
                 for x in partners:
-                    if similar(own, np.frombuffer(x["shingles"], np.uint64)):
-                        links.add(tuple(sorted((visitor["doc_id"], x["doc_id"]))))
-            a, b = zip(*sorted(links), strict=True) if links else ((), ())
+                    low, high = sorted((find(visitor["label"]), find(x["label"])))
+                    if low != high and similar(own, np.frombuffer(x["shingles"], np.uint64)):
+                        root[high] = low
+                        links.append(tuple(sorted((visitor["doc_id"], x["doc_id"]))))
+            a, b = zip(*links, strict=True) if links else ((), ())
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return met.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -418,13 +459,13 @@ def grouped(spark: SparkSession, docs: DataFrame, size: int) -> DataFrame:
     pairs = kept_table(spark, distinct_pairs(found), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = kept_table(spark, full_sets(rows, ids, size), "sets")
-    links = kept_table(spark, confirmed(pairs.where("central"), sets), "links")
-    labels = components(spark, links)
-    more = kept_table(spark, across(pairs.where("NOT central"), labels), "pairs")
-    links = links.unionByName(kept_table(spark, confirmed(more, sets), "links"))
-    labels = components(spark, links)
-    links = links.unionByName(kept_table(spark, rest_links(spark, labelled(classes, labels), rows, size), "links"))
-    named = labelled(classes, components(spark, links))
+    # One pair for each class joins most of a dense group; pairs inside a group so far are left out after that.
+    labels = components(spark, confirmed(first_pairs(pairs), sets))
+    for later in (pairs.where("central"), pairs.where("NOT central")):
+        more = kept_table(spark, across(later, labels), "pairs")
+        labels = components(spark, confirmed(more, sets), labels)
+    labels = components(spark, rest_links(spark, labelled(classes, labels), rows, size), labels)
+    named = labelled(classes, labels)
     named = kept_table(spark, named.select("set_key", F.col("label").alias("component")), "components")
     joined = marked.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
@@ -439,15 +480,17 @@ def digest(spark: SparkSession, docs: DataFrame, size: int = 2) -> DataFrame:
 def kept_documents(spark: SparkSession, docs: DataFrame, size: int = 5) -> DataFrame:
     """One row of each near-duplicate group, the one with the smallest id, with all its columns.
 
-    Of rows that share an id and have words one stays; rows with a null id and documents
-    without words are in no group and stay.
+    Of rows that share an id and have words one stays. Rows with a null id and rows without
+    words are in no group and stay, whatever id they have.
     """
     groups = kept_table(spark, grouped(spark, docs, size), "groups").where("doc_id IS NOT NULL AND n_shingles > 0")
     gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
     twice = groups.groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id")
     gone, twice = small_side(spark, gone), small_side(spark, twice)
+    has_words = F.coalesce(docs["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     same = docs["doc_id"] == F.col("__id")
-    kept = docs.join(gone, same, "left_anti")
-    place = Window.partitionBy("doc_id").orderBy(F.length(F.trim("text")).cast("int") == 0, F.xxhash64("text"))
+    kept = docs.where(has_words).join(gone, same, "left_anti")
+    place = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     again = kept.join(twice, same, "left_semi").withColumn("__place", F.row_number().over(place))
-    return kept.join(twice, same, "left_anti").unionByName(again.where("__place = 1").drop("__place"))
+    once = kept.join(twice, same, "left_anti").unionByName(again.where("__place = 1").drop("__place"))
+    return once.unionByName(docs.where(~has_words))
