@@ -326,6 +326,99 @@ def test_a_class_that_names_something_else_marks_nothing(tag):
     assert [x for x, kind in webtext.page_lines(page) if kind != webtext.TEMPLATE] == ["text"]
 
 
+PARAGRAPHS = [f"Paragraph {i} of the text that the page is about, with some words of its own." for i in range(3)]
+
+
+def body(*lines):
+    return "<body>" + "".join(f"<p>{x}</p>" for x in lines) + "</body>"
+
+
+def test_copies_in_plain_pages_keep_their_text(spark):
+    """Pages without an article element: copies under another title stay, shared template lines go."""
+    own = lambda i: [f"Page {i} says something that no other page says, line {k} of it." for k in range(4)]
+    frame = ["Home of the site", "Write to us"]
+    pages = [(i, f"http://a.org/{i:03}", body(frame[0], *own(i), frame[1])) for i in range(60)]
+    pages += [(i, f"http://b.org/{i}", body(f"Title {i}", *PARAGRAPHS)) for i in (100, 101)]
+    pages += [(110, "http://c.org/1", body("Quote of all", *own(1))), (111, "http://c.org/2", body(*own(2))), (112, "http://c.org/3", body("Quote of all", *own(3)))]
+    pages += [(113, "http://c.org/4", body(*own(4))), (114, "http://c.org/5", body(*own(5)))]
+    df = spark.createDataFrame(pages, "page_id STRING, url STRING, html STRING").repartition(6)
+    got = {int(r.page_id): r.text.split("\n\n") for r in webtext.extracted(df).collect()}
+    assert all(got[i] == own(i) for i in range(60))
+    assert all(got[i] == [f"Title {i}", *PARAGRAPHS] for i in (100, 101))
+    assert got[110] == ["Quote of all", *own(1)] and got[111] == own(2)  # two of five pages share it
+
+
+@pytest.mark.parametrize("tag", ["div class='post social'", "section class='story related-topics'", "div class='newsletter-archive'", "p class='copyright-law'", "div class='widget'"])
+def test_one_class_word_deletes_no_article(tag):
+    page = f"<body><nav>menu</nav><{tag}>{PARAGRAPHS[0]}</{tag.split()[0]}><div class='sidebar-box'>side</div></body>"
+    assert [x for x, kind in webtext.page_lines(page) if kind != webtext.TEMPLATE] == [PARAGRAPHS[0]] + ["side"] * (tag == "div class='widget'")
+
+
+def brute_extracted(pages):
+    """The whole operator in plain Python: all pages of a host in one list, alignment by the plain table."""
+
+    def aligned(mine, other):
+        best = [[0] * (len(other) + 1) for _ in range(len(mine) + 1)]
+        for i, x in enumerate(mine):
+            for j, y in enumerate(other):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    hosts = defaultdict(list)
+    for page_id, url, html in pages:
+        match = re.match(r"(?i)([a-z][a-z0-9+.-]*://([^/?#]*))?([^?#]*)", url or "")
+        hosts[(match[2] or "").lower()].append((match[3], str(page_id) if page_id is not None else "", page_id, webtext.page_lines(html)))
+    out = []
+    for rows in hosts.values():
+        rows.sort(key=lambda r: r[:2])
+        for at, (_, _, page_id, lines) in enumerate(rows):
+            texts, kinds = [x for x, _ in lines], [k for _, k in lines]
+            beside = [[x for x, _ in r[3]] for r in rows[max(0, at - 2) : at] + rows[at + 1 : at + 3]]
+            kinds_beside = [[k for _, k in r[3]] for r in rows[max(0, at - 2) : at] + rows[at + 1 : at + 3]]
+            votes, witnesses = Counter(), 0
+            for other, other_kinds in zip(beside, kinds_beside):
+                common = webtext.common_lines(texts, other)
+                assert len(common) == aligned(texts, other)
+                back = webtext.common_lines(other, texts)
+                enough = []
+                for words, marks, shared in ((texts, kinds, common), (other, other_kinds, back)):
+                    whole = sum(len(x) for x, k in zip(words, marks) if k != webtext.TEMPLATE)
+                    left = sum(len(x) for i, (x, k) in enumerate(zip(words, marks)) if k != webtext.TEMPLATE and i not in shared)
+                    enough.append(left >= 200 or left >= 0.3 * max(whole, 1))
+                if not common or all(enough):
+                    witnesses += 1
+                    votes.update(common)
+            kept = [x for i, (x, k) in enumerate(lines) if k == webtext.MAIN or (k == webtext.OUTSIDE and not (votes[i] and 2 * votes[i] > witnesses))]
+            out.append((page_id, "\n\n".join(kept)))
+    return out
+
+
+def test_extraction_against_brute_force(spark):
+    draw = random.Random(12)
+    line = lambda: draw.choice([f"common {draw.randint(0, 6)}", f"own {draw.random()}", "a longer line of text that pages share " * 3])
+    pages = []
+    for i in range(250):
+        parts = [f"<p>{line()}</p>" for _ in range(draw.randint(0, 9))]
+        if draw.random() < 0.3:
+            parts.insert(draw.randint(0, len(parts)), "<article>" + "".join(f"<p>{line()}</p>" for _ in range(3)) + "</article>")
+        if draw.random() < 0.3:
+            parts.append("<div class='widget'>" + line() + "</div><footer>x</footer>")
+        pages.append((i, draw.choice(["http://H.org/%d?x=%d", "https://k.net/a/%d#%d", "%d/%d"]) % (draw.randint(0, 80), i), "".join(parts)))
+    pages += [(1000, None, None), (1001, None, "<p>x</p>"), (1002, "http://H.org/", ""), pages[3], pages[3]]
+    df = spark.createDataFrame(pages, "page_id INT, url STRING, html STRING").repartition(7)
+    got = webtext.extracted(df)
+    assert in_order(got.select("page_id", "text").collect()) == in_order(brute_extracted(pages))
+    assert webtext.extracted(df.where("page_id < 0")).count() == 0
+
+
+def test_many_lines_are_aligned_in_bit_rows():
+    draw = random.Random(2)
+    a, b = ([f"{draw.randint(0, 900)}" for _ in range(3000)] for _ in range(2))
+    found = sorted(webtext.common_lines(a, b))
+    rest = iter(b)
+    assert all(a[i] in rest for i in found) and len(found) > 100
+
+
 def test_common_lines_are_a_longest_common_subsequence():
     draw = random.Random(7)
     for _ in range(200):
