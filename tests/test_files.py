@@ -8,6 +8,8 @@ from waymark.operators import (
     extract_columns,
     extract_packed_places,
     fill_and_cast,
+    full_outer_pair,
+    full_outer_stored,
     null_profile,
     table_summary,
     with_ratio,
@@ -16,9 +18,11 @@ from waymark.operators.synth import PACKED_HEADER
 from waymark.sources import (
     CITY_SCHEMA,
     TRIP_SCHEMA,
+    malformed_by_file,
     read_csv,
     register,
     run_sql,
+    store_buckets,
     stream_csv,
     write_csv,
 )
@@ -134,3 +138,41 @@ def test_stream_takes_one_file_per_batch(spark, tmp_path):
     )
     query.awaitTermination(60)
     assert seen == [1, 1, 1]
+
+
+def test_malformed_lines_are_kept_beside_the_typed_row(spark, tmp_path):
+    """Lines of 17, 18 and 19 values under a schema of 18, and a text for a number."""
+    schema = ", ".join(["id INT", *[f"c{i} DOUBLE" for i in range(1, 18)]])
+    line = lambda i, n: ",".join([str(i), *[f"{k}.5" for k in range(1, n)]])
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join([line(1, 18), line(2, 17), line(3, 19)]) + "\n")
+    (folder / "b.csv").write_text("\n".join([line(4, 18), line(5, 18).replace(",7.5,", ",seven,"), "x," + line(6, 17)]) + "\n")
+    (folder / "c.csv").write_text(line(7, 18) + "\n")
+    rows = read_csv(spark, str(folder), schema, header=False, malformed="bad")
+    assert rows.columns[-1] == "bad"
+    got = {r.c1 if r.id is None else r.id: r for r in rows.collect()}
+    assert {k for k, r in got.items() if r.bad is None} == {1, 4, 7}
+    assert (got[2].bad, got[2].c16, got[2].c17) == (line(2, 17), 16.5, None)
+    assert (got[3].bad, got[3].c17) == (line(3, 19), 17.5)
+    assert (got[5].c7, got[5].c8) == (None, 8.5) and got[5].bad.count("seven") == 1
+    counts = {r.file_name: (r.row_count, r.malformed_count) for r in malformed_by_file(rows, "bad").collect()}
+    assert counts == {"a.csv": (3, 2), "b.csv": (3, 2), "c.csv": (1, 0)}
+
+
+def test_malformed_lines_under_a_header(spark, cities):
+    rows = read_csv(spark, cities, CITY_SCHEMA, malformed="bad")
+    assert [r.bad for r in rows.collect()] == [None] * 3
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, cities, CITY_SCHEMA.replace("Area", "Size"), malformed="bad").collect()
+
+
+def test_stored_buckets_join_like_tables(spark):
+    left = spark.createDataFrame([(i % 7, "l", float(i)) for i in range(40)] + [(None, "l", 0.0)], "id INT, name STRING, amount DOUBLE")
+    right = spark.createDataFrame([(i % 11, "r", float(i)) for i in range(30)] + [(None, "r", 1.0)], "id INT, name STRING, amount DOUBLE")
+    stored = [store_buckets(side, "id", 4) for side in (left, right)]
+    names = {"name": "a", "amount": "b"}, {"name": "c", "amount": "d"}
+    expected = sorted(map(tuple, full_outer_pair(left, right, "id", *names).collect()), key=repr)
+    for rows_per_slice in (1_000_000, 3):  # without and with hot keys
+        got = full_outer_stored(*stored, "id", *names, rows_per_slice)
+        assert sorted(map(tuple, got.collect()), key=repr) == expected

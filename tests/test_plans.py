@@ -51,14 +51,26 @@ def final_plan(df):
 
 def test_join_shuffles_wide_rows_once(spark):
     df = contract.queries()["full_outer_pair"](spark, ROOT)
-    text = final_plan(df).split("Initial Plan")[0]
+    text, initial = final_plan(df).split("Initial Plan")
     assert "SortMergeJoin" in text and "CartesianProduct" not in text
     wide = [line for line in re.findall(r"Exchange hashpartitioning\(([^\n]*)", text) if "_slice" in line]
     assert len(wide) == 2  # one for each side, by key and slices
     assert {"l_orderkey", "l_extendedprice", "l_linestatus"} in read_columns(text)
+    assert "partial_count" in initial  # no key is hot, so the final plan has dropped the counts
+
+
+def test_hot_keys_are_counted_in_the_plan(spark):
+    text = final_plan(contract.queries()["full_outer_hot_pair"](spark, ROOT)).split("Initial Plan")[0]
     assert "partial_count" in text
 
 
+def test_stored_buckets_are_joined_where_they_are(spark):
+    df = contract.queries()["full_outer_stored_pair"](spark, ROOT)
+    text = final_plan(df).split("Initial Plan")[0]
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert text.count("Bucketed: true") == 2
+
+
 def test_filters_are_pushed_down(spark):
     assert "GreaterThan(value,50.0)" in registered(spark, "filter_high")
 

@@ -1,4 +1,4 @@
-from .draws import draw, draw_digits, draw_double, draw_int, draw_word
+from .draws import draw, draw_below, draw_digits, draw_double, draw_int, draw_word
 from .scalars import (
     day_of_week,
     hour_of_day,
@@ -13,6 +13,7 @@ from .scalars import (
 __all__ = [
     "day_of_week",
     "draw",
+    "draw_below",
     "draw_digits",
     "draw_double",
     "draw_int",

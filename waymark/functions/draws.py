@@ -15,17 +15,28 @@ PER_HASH = 4  # an MD5 has four pieces of 32 bits
 DIGITS = 8
 
 
+def _piece(keys: list[Column | str] | Column | str, seed: int, stream: int) -> Column:
+    """Eight hexadecimal digits of the key's hash."""
+    keys = keys if isinstance(keys, list) else [keys]
+    parts = [(F.col(k) if isinstance(k, str) else k).cast("bigint").cast("string") for k in keys]
+    text = F.concat_ws(":", F.lit(f"{seed}:{stream // PER_HASH}"), *[F.coalesce(p, F.lit("")) for p in parts])
+    return F.substring(F.md5(text), 1 + DIGITS * (stream % PER_HASH), DIGITS)
+
+
 def draw(keys: list[Column | str] | Column | str, seed: int, stream: int = 0) -> Column:
     """A bigint uniform in [0, 2**32); give each use of one key its own ``stream``.
 
     Keys are whole numbers; NULL counts as an empty text. Four streams in a row are
     pieces of one hash, which is computed once where a projection uses several.
     """
-    keys = keys if isinstance(keys, list) else [keys]
-    parts = [(F.col(k) if isinstance(k, str) else k).cast("bigint").cast("string") for k in keys]
-    text = F.concat_ws(":", F.lit(f"{seed}:{stream // PER_HASH}"), *[F.coalesce(p, F.lit("")) for p in parts])
-    piece = F.substring(F.md5(text), 1 + DIGITS * (stream % PER_HASH), DIGITS)
-    return F.conv(piece, 16, 10).cast("bigint")
+    return F.conv(_piece(keys, seed, stream), 16, 10).cast("bigint")
+
+
+def draw_below(keys, seed: int, bound: int, stream: int = 0) -> Column:
+    """Whether the draw is under ``bound``, from its digits: texts of one length order like numbers."""
+    if bound >= 16**DIGITS:
+        return F.lit(True)
+    return _piece(keys, seed, stream) < F.lit(f"{bound:0{DIGITS}x}")
 
 
 def draw_int(keys, lo: int, hi: int, seed: int, stream: int = 0) -> Column:

@@ -25,8 +25,8 @@ from .clean import (
     with_ratio,
     with_split_field,
 )
-from .model import fit_fare_model, score, trip_features
-from .pairing import full_outer_pair, prepare_pair
+from .model import fit_fare_model, load_model, score, store_model, trip_features
+from .pairing import full_outer_pair, full_outer_stored, prepare_pair
 from .profile import (
     column_list,
     correlation_matrix,
@@ -38,8 +38,10 @@ from .profile import (
 )
 from .ranking import (
     both_ends,
+    end_groups,
     extreme_groups,
     extremes_union,
+    merged_counts,
     sorted_projection,
     top_k,
     top_k_series,
@@ -67,6 +69,7 @@ __all__ = [
     "describe_text",
     "drop_columns",
     "drop_incomplete_rows",
+    "end_groups",
     "extend_cities",
     "extend_rows",
     "extract_columns",
@@ -76,12 +79,15 @@ __all__ = [
     "fill_and_cast",
     "fit_fare_model",
     "full_outer_pair",
+    "full_outer_stored",
     "group_avg",
     "group_count",
     "hash_sample",
     "histogram",
     "keep_null",
     "keep_where",
+    "load_model",
+    "merged_counts",
     "null_profile",
     "numeric_columns",
     "point_set",
@@ -94,6 +100,7 @@ __all__ = [
     "seeded_sample",
     "select_exprs",
     "sorted_projection",
+    "store_model",
     "synth_cities",
     "synth_names",
     "table_shape",

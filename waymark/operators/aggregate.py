@@ -70,15 +70,17 @@ def window_sum(
     value: str,
     name: str,
     watermark: str | None = None,
+    count: str | None = None,
 ) -> DataFrame:
-    """Sum per tumbling window, with flat ``start_time`` and ``end_time``.
+    """Sum per tumbling window, with flat ``start_time`` and ``end_time``, and its rows as ``count``.
 
     On a stream, a watermark drops rows that come too late and lets the state of
     closed windows go; without one the state keeps every window ever seen.
     """
     source = df.withWatermark(ts, watermark) if watermark else df
-    summed = source.groupBy(F.window(ts, width)).agg(F.sum(value).alias(name))
-    return summed.selectExpr("window.start AS start_time", "window.end AS end_time", name)
+    counted = {count: F.count(F.lit(1)).alias(count)} if count else {}
+    summed = source.groupBy(F.window(ts, width)).agg(F.sum(value).alias(name), *counted.values())
+    return summed.selectExpr("window.start AS start_time", "window.end AS end_time", name, *counted)
 
 
 def _label(df: DataFrame, key: str | Column) -> str:

@@ -36,3 +36,14 @@ def fit_fare_model(
 def score(model: PipelineModel, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Predictions next to the given columns, for a table or a stream."""
     return model.transform(df).select(*columns, "prediction")
+
+
+def store_model(model: PipelineModel, path: str) -> str:
+    """Write a fitted pipeline to a folder that later runs can read; gives the path."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    """A stored pipeline, with the predictions it had when it was fitted."""
+    return PipelineModel.load(path)

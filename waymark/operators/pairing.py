@@ -68,6 +68,33 @@ def full_outer_pair(
     )
 
 
+def full_outer_stored(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_columns: dict[str, str],
+    right_columns: dict[str, str],
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """``full_outer_pair`` of two tables that are stored in equally many buckets of the key.
+
+    The rows of every key are counted bucket by bucket, which reads the key alone and moves
+    nothing. If no key is hot the buckets are joined where they are, without an exchange;
+    else the join is that of ``full_outer_pair``.
+    """
+    for side in (left, right):
+        hot = side.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > rows_per_slice)
+        missing = side.where(F.col(key).isNull()).limit(rows_per_slice + 1).count()
+        if missing > rows_per_slice or not hot.isEmpty():
+            return full_outer_pair(left, right, key, left_columns, right_columns, rows_per_slice)
+    l = left.select(*dict.fromkeys([key, *left_columns])).alias("l")
+    r = right.select(*dict.fromkeys([key, *right_columns])).alias("r")
+    return l.join(r, F.col(f"l.{key}") == F.col(f"r.{key}"), "full_outer").select(
+        *[F.col(f"l.{old}").alias(new) for old, new in left_columns.items()],
+        *[F.col(f"r.{old}").alias(new) for old, new in right_columns.items()],
+    )
+
+
 def prepare_pair(
     left: DataFrame, right: DataFrame, key: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> Pair:

@@ -57,6 +57,21 @@ def both_ends(counts: DataFrame, k: int) -> DataFrame:
     return _ends(counts, k, "smallest").union(_ends(counts, k, "largest"))
 
 
+def merged_counts(known: DataFrame, more: DataFrame) -> DataFrame:
+    """Two tables of (key, count) rows added up."""
+    key, name = known.columns
+    return known.unionByName(more).groupBy(key).agg(F.sum(name).alias(name))
+
+
+def end_groups(counts: DataFrame, k: int, which: str) -> DataFrame:
+    """The k smallest or largest keys of a table of (key, count) rows.
+
+    Merged batch by batch this needs no other rows: a key that falls out of the k smallest
+    has k smaller ones ever after.
+    """
+    return _ends(counts, k, which)
+
+
 def _ends(counts: DataFrame, k: int, which: str) -> DataFrame:
     key, name = counts.columns
     if which == "smallest":

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import draw
+from ..functions import draw_below
 
 
 def seeded_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -19,7 +19,7 @@ def hash_sample(
     df: DataFrame, keys: Sequence[str], fraction: float, seed: int
 ) -> DataFrame:
     """Bernoulli sample decided by the key columns alone, however rows are spread."""
-    return df.where(draw(list(keys), seed) < int(fraction * 2**32))
+    return df.where(draw_below(list(keys), seed, int(fraction * 2**32)))
 
 
 def point_set(df: DataFrame, x: str, y: str) -> DataFrame:

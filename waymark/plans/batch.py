@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import day_of_week, hour_of_day, weekday
 from ..operators import prepare_pair
-from ..sources import read_csv, register, run_sql, write_csv
+from ..sources import read_csv, register, run_sql, store_buckets, write_csv
 from .registry import Inputs, query, rounded, wall_clock
 
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
@@ -43,16 +43,22 @@ def csv_typed_scan(t):
     return read_csv(t.spark, path, customer.schema)
 
 
+@query("csv_headerless_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def csv_headerless_scan(t):
+    """Header lines arrive as rows with nulls, which dropping incomplete rows removes."""
+    path = t.scratch("orders-csv")
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    write_csv(orders, path)
+    return op.drop_incomplete_rows(read_csv(t.spark, path, orders.schema, header=False))
+
+
 @query(
-    "csv_headerless_scan",
+    "csv_headerless_gaps",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice
        FROM (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders) WHERE status IS NOT NULL""",
 )
-def csv_headerless_scan(t):
-    """Header lines arrive as rows with nulls, which dropping incomplete rows removes.
-
-    So does it remove real rows with a null, as the oracle does.
-    """
+def csv_headerless_gaps(t):
+    """Rows with an empty field go with the header lines."""
     path = t.scratch("orders-csv")
     orders = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     orders = orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
@@ -60,6 +66,25 @@ def csv_headerless_scan(t):
     return op.drop_incomplete_rows(read_csv(t.spark, path, orders.schema, header=False))
 
 
+@query(
+    "csv_malformed_lines",
+    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 <> 3 THEN c_nationkey END AS c_nationkey,
+              CASE WHEN c_custkey % 4 <> 1 THEN c_mktsegment END AS c_mktsegment, c_custkey % 4 <> 0 AS malformed
+       FROM customer""",
+)
+def csv_malformed_lines(t):
+    """Lines that are whole, lack a field, have one too many, or hold a text for a number."""
+    path = t.scratch("customer-lines")
+    customer = t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    kind = F.col("c_custkey") % 4
+    nation = F.when(kind == 3, F.lit("none")).otherwise(F.col("c_nationkey").cast("string"))
+    fields = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", nation)
+    line = F.when(kind == 1, fields).otherwise(F.concat_ws(",", fields, "c_mktsegment", F.when(kind == 2, F.lit("more"))))
+    customer.select(line.alias("line")).write.text(path)
+    rows = read_csv(t.spark, path, customer.schema, header=False, malformed="malformed")
+    return rows.withColumn("malformed", F.col("malformed").isNotNull())
+
+
 @query(
     "csv_inferred_scan",
     """SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size,
@@ -241,6 +266,22 @@ def full_outer_pair(t):
     )
 
 
+PAIR_BUCKETS = 16
+
+
+@query("full_outer_stored_pair", PAIR_SQL)
+def full_outer_stored_pair(t):
+    """Both tables stored in buckets of the key, as for joins that are run often."""
+    lines, orders = (store_buckets(side, "id", PAIR_BUCKETS) for side in pair_sides(t))
+    return op.full_outer_stored(
+        lines,
+        orders,
+        "id",
+        {"name": "line_status", "amount": "line_price"},
+        {"name": "order_status", "amount": "order_price"},
+    )
+
+
 # Small enough that most keys are hot, so that small tables run the sliced join too.
 HOT_ROWS_PER_SLICE = 4
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..streaming import run_stream
+from ..streaming import StreamJob, await_streams, run_stream, start_stream
 from .registry import Inputs, query
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -91,3 +91,33 @@ def stream_scored_checks(t):
     return sides.agg(
         F.sum("streamed").alias("scored_rows"), F.count_if(F.col("more") != 0).alias("mismatches")
     )
+
+
+@query(
+    "stream_rescored_checks",
+    f"SELECT count(*) AS scored_rows, CAST(0 AS BIGINT) AS mismatches FROM lineitem WHERE {VALID}",
+)
+def stream_rescored_checks(t):
+    """A stream that stops and goes on with the stored model scores like one that never stopped.
+
+    The table arrives in two turns; after the first the model is loaded again, and the
+    same checkpoint goes on. Nothing is fitted a second time.
+    """
+    model = fitted(t)
+    stored = op.store_model(model, t.scratch("fare-model"))
+    source, result = t.scratch("lines-in"), t.scratch("lines-scored")
+    lines = line_features(t("lineitem"))
+    early = F.col("l_linenumber") <= 2
+    for turn in (lines.where(early), lines.where(~early)):
+        turn.write.mode("append").parquet(source)
+        arriving = t.spark.readStream.schema(lines.schema).parquet(source)
+        scored = op.score(op.load_model(stored), arriving, [*KEYS, LABEL])
+        table, running = start_stream(StreamJob(scored, "append"), result)
+        await_streams([running])
+    sides = [
+        op.score(model, lines, [*KEYS, LABEL]).withColumn("side", F.lit(1)),
+        table.read(t.spark).withColumn("side", F.lit(-1)),
+    ]
+    rows = sides[0].unionByName(sides[1]).groupBy(*KEYS, LABEL, "prediction")
+    counted = rows.agg(F.sum("side").alias("more"), F.count_if(F.col("side") < 0).alias("streamed"))
+    return counted.agg(F.sum("streamed").alias("scored_rows"), F.count_if(F.col("more") != 0).alias("mismatches"))

@@ -27,10 +27,27 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{OWN_FOLDER}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder on whatever file system it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    target, files = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, with its folders."""
+    target, files = _file_system(spark, path)
+    files.create(target, True).close()
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it isn't there."""
+    target, files = _file_system(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(target)] if files.exists(target) else []
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -12,14 +12,25 @@ def stream_csv(
     schema: StructType | str,
     max_files: int | None,
     header: bool = False,
+    max_bytes: str | int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """Read a growing directory of CSV files.
 
-    A micro-batch takes at most ``max_files`` new files, or all there are with None.
+    A micro-batch takes at most ``max_files`` new files, or files of ``max_bytes`` together
+    (one file at least), or all there are with neither. With ``archive``, a folder outside
+    of ``path``, files are moved there when a later batch finds them done; the checkpoint
+    knows them, so none is read twice.
     """
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("a micro-batch is limited by files or by bytes, not by both")
     reader = spark.readStream.schema(schema).option("header", header)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.csv(path)
 
 
