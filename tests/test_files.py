@@ -156,8 +156,8 @@ def test_malformed_lines_are_kept_beside_the_typed_row(spark, tmp_path):
     assert (got[2].bad, got[2].c16, got[2].c17) == (line(2, 17), 16.5, None)
     assert (got[3].bad, got[3].c17) == (line(3, 19), 17.5)
     assert (got[5].c7, got[5].c8) == (None, 8.5) and got[5].bad.count("seven") == 1
-    counts = {r.file_name: (r.row_count, r.malformed_count) for r in malformed_by_file(rows, "bad").collect()}
-    assert counts == {"a.csv": (3, 2), "b.csv": (3, 2), "c.csv": (1, 0)}
+    counts = {r.file_name: (r.row_count, r.malformed_count, r.null_fields) for r in malformed_by_file(rows, "bad").collect()}
+    assert counts == {"a.csv": (3, 2, 1), "b.csv": (3, 2, 2), "c.csv": (1, 0, 0)}
 
 
 def test_malformed_lines_under_a_header(spark, cities):

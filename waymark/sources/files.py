@@ -44,10 +44,13 @@ def read_csv(
 
 
 def malformed_by_file(rows: DataFrame, malformed: str) -> DataFrame:
-    """file_name, row_count and malformed_count of each file of a scan with a ``malformed`` column."""
+    """file_name, row_count, malformed_count and null_fields of each file of a scan with a ``malformed`` column."""
     named = rows.select("*", F.col("_metadata.file_name").alias("file_name"))
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in rows.columns if c != malformed), F.lit(0))
     return named.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count(malformed).alias("malformed_count")
+        F.count(F.lit(1)).alias("row_count"),
+        F.count(malformed).alias("malformed_count"),
+        F.sum(nulls).alias("null_fields"),
     )
 
 
