@@ -146,6 +146,7 @@ class Aligner:
         self.a, self.b = ByteLevel(spec_a), Pieces(model_b)
         self.sizes_a = np.array([len(x) for x in self.a.bytes], np.int64)
         self.sizes_b = np.array([len(x) for x in self.b.bytes], np.int64)
+        self.texts_a, self.texts_b = (np.array(x, dtype=object) for x in (self.a.bytes, self.b.bytes))
         self.same = same_bytes(self.a.bytes, self.b.bytes)
         self.digits = Digits(max(self.a.size, self.b.size))
 
@@ -156,8 +157,8 @@ class Aligner:
             return none
         data = b" " + text.encode("utf-8", "surrogatepass")
         a, b = self.a.encode(" " + text), self.b.encode(text)
-        for ids, values in ((a, self.a.bytes), (b, self.b.bytes)):
-            if b"".join([values[i] for i in ids.tolist()]) != data:
+        for ids, sizes, values in ((a, self.sizes_a, self.texts_a), (b, self.sizes_b, self.texts_b)):
+            if sizes[ids].sum() != len(data) or b"".join(values[ids].tolist()) != data:
                 return none
         return a, b
 
@@ -168,8 +169,9 @@ class Aligner:
             empty = np.zeros(0, np.int64)
             return 0, 0, 0, 0, b"", empty, empty, empty, empty
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
-        common = np.intersect1d(ends_a, ends_b)
-        # Tokens without bytes stay in the group before them.
+        # Both grow, so what they share needs no sorting; tokens without bytes stay in the group before them.
+        common = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(b) - 1)] == ends_a]
+        common = common[np.diff(common, prepend=0) > 0]
         cut_a = np.searchsorted(ends_a, common, side="right")
         cut_b = np.searchsorted(ends_b, common, side="right")
         n_a, n_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
