@@ -112,6 +112,51 @@ def test_substrings_against_brute_force(spark, documents, monkeypatch, windows_p
     assert kept == {1: passages[1], 2: "q"}
 
 
+def test_a_hot_group_is_split(spark, documents, monkeypatch):
+    """A four-word phrase with other words around it in every text fills many buckets, each with few windows."""
+    monkeypatch.setattr(substrings, "SAMPLE_SHARE", 0.5)
+    monkeypatch.setattr(substrings, "WINDOWS_PER_BUCKET", 60)
+    draw = random.Random(21)
+    around = lambda: " ".join(f"z{draw.randint(0, 4)}" for _ in range(9))
+    docs = [(i, f"{around()} the same four words {around()} end {draw.randint(0, 5)}") for i in range(150)]
+    docs += [(200 + i, docs[i][1]) for i in range(40)]
+    rows = documents(docs).selectExpr("doc_id", "text", "1 AS tag")
+    buckets = substrings.chosen_buckets(rows.select("doc_id", "text", "tag"), 13)
+    assert len(buckets.split) and (buckets.parts > 1).any() and buckets.many >= 2000 // 60
+    sizes = Counter()
+    for _, text in docs:
+        words = [w.encode() for w in text.split()]
+        window, least = substrings.window_parts(substrings.hashed_rows([words])[0], 13)
+        sizes.update(buckets.of(least, window).tolist())
+    assert max(sizes.values()) < 0.2 * sum(sizes.values())
+    assert in_order(substrings.digest(documents(docs)).collect()) == in_order(brute_substrings(docs))
+
+
+def test_windows_whose_hashes_meet_are_told_apart(spark, documents, monkeypatch):
+    real = substrings.window_parts
+    monkeypatch.setattr(substrings, "window_parts", lambda h, n: (real(h, n)[0] % 4, real(h, n)[0]))
+    docs = list(enumerate(random_texts(60, ["a", "b", "c"], 5, 40)))
+    words = [substrings.plain_words(t) for _, t in docs]
+    rows = substrings.hashed_rows(words)
+    ids, tags = substrings.np.arange(60), substrings.np.zeros(60, substrings.np.int32)
+    buckets = substrings.Buckets(3, substrings.np.zeros(0, substrings.np.uint64), substrings.np.zeros(0, substrings.np.int64))
+    covered = defaultdict(list)
+    groups = defaultdict(list)
+    for bucket, hashes, runs, owners, marks in substrings.task_groups(ids, tags, rows, 13, buckets):
+        if bucket < 0:
+            found = substrings.pa.ipc.open_stream(runs).read_all().to_pylist()
+        else:
+            groups[bucket].append({"hashes": hashes, "runs": runs, "docs": owners, "tags": marks})
+            continue
+        for row in found:
+            covered[row["doc_id"]].append(row["spans"])
+    for group in groups.values():
+        for row in substrings.settle(group).to_pylist():
+            covered[row["doc_id"]].append(row["spans"])
+    got = [len(w) - len(substrings.kept_words(w, covered.get(i), 13)) for i, w in enumerate(words)]
+    assert got == [gone for _, _, gone, _ in brute_substrings(docs)]
+
+
 # --- near duplicates ----------------------------------------------------------
 
 

@@ -6,7 +6,11 @@ Repeated windows next to each other merge into maximal intervals, whose words go
 
 Windows are grouped by the smallest hash of their four-word parts. Equal windows meet in
 one group, and neighbours mostly share theirs, so a group gets runs of windows and sends
-intervals back. Each task first settles repeats among the documents it holds at a time and
+intervals back. There are as many buckets of groups as the windows need, and a group that
+would fill a bucket by itself (a phrase that a large part of all texts has) is split by
+the windows' own hashes: equal windows still meet, only runs get shorter. A sample of the
+rows tells how many buckets and which groups; it decides on the plan, not on results.
+Windows are equal if their 64-bit hashes and 32 bits of their smallest part are. Each task first settles repeats among the documents it holds at a time and
 passes on only those of the smallest id, so a passage that a third of all rows shares
 arrives once from each such set. No words travel but in the last join with the texts.
 
@@ -19,13 +23,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import picked, ship_by_value
+from .common import kept_table, picked, ship_by_value
 from .vectors import blocks, hashed_rows, plain_words, rolling, run_starts, spread
 
 ship_by_value(__name__)
@@ -34,6 +39,9 @@ WINDOW = 13
 PART = 4
 CHARS_PER_BLOCK = 2_000_000
 WINDOWS_PER_FLUSH = 1_200_000
+# A bucket is settled by one task in some 50 bytes for each window.
+WINDOWS_PER_BUCKET = 4_000_000
+SAMPLE_SHARE = 0.02
 
 GROUP_SCHEMA = "bucket int, hashes binary, runs binary, docs binary, tags binary"
 
@@ -59,17 +67,74 @@ def window_parts(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]
     return windows, least
 
 
-def runs_of(doc: np.ndarray, place: np.ndarray, key: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Where runs of neighbouring places of one document (and key) start, and their lengths."""
+def runs_of(doc: np.ndarray, place: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of neighbouring places of one document (and equal keys) start, and their lengths."""
     if not len(doc):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     breaks = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] != 1)
-    if key is not None:
+    for key in keys:
         breaks |= key[1:] != key[:-1]
     starts = np.concatenate([[0], np.flatnonzero(breaks) + 1])
     return starts, np.diff(np.concatenate([starts, [len(doc)]]))
 
 
+def grouped_order(window: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal windows stand together, otherwise as they were, and where each starts anew."""
+    by_hash = np.argsort(window, kind="stable")
+    differ = window[by_hash[1:]] != window[by_hash[:-1]]
+    other = mark[by_hash[1:]] != mark[by_hash[:-1]]
+    if (other & ~differ).any():  # hashes that meet by chance
+        by_hash = np.lexsort((mark, window))
+        differ = window[by_hash[1:]] != window[by_hash[:-1]]
+        other = mark[by_hash[1:]] != mark[by_hash[:-1]]
+    return by_hash, np.concatenate([[True], differ | other])
+
+
+def marks(least: np.ndarray) -> np.ndarray:
+    return (least >> np.uint64(16)).astype(np.uint32).view(np.int32)
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Where the windows of each group go: ``many`` buckets, and further ones for split groups."""
+
+    many: int
+    split: np.ndarray  # sorted smallest parts
+    parts: np.ndarray  # buckets of each
+
+    def of(self, least: np.ndarray, window: np.ndarray) -> np.ndarray:
+        bucket = (least % np.uint64(self.many)).astype(np.int64)
+        if len(self.split):
+            at = np.minimum(np.searchsorted(self.split, least), len(self.split) - 1)
+            hot = np.flatnonzero(self.split[at] == least)
+            own = at[hot]
+            # By the high bits: a bucket's windows are sorted by all of them later.
+            part = (window[hot] >> np.uint64(32)) % self.parts[own].astype(np.uint64)
+            bucket[hot] = self.many + run_starts(self.parts)[own] + part.astype(np.int64)
+        return bucket
+
+
+def chosen_buckets(docs: DataFrame, size: int) -> Buckets:
+    """From a sample of the rows: the number of buckets, and groups with more windows than one should have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("text").to_pylist(), CHARS_PER_BLOCK):
+                parts = [window_parts(h, size)[1] for h in hashed_rows([plain_words(text) for text in block])]
+                least, n = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.record_batch([pa.array(least.view(np.int64)), pa.array(n.astype(np.int64))], ["least", "n"])
+
+    sampled = docs.select("text").sample(SAMPLE_SHARE, seed=5).mapInArrow(run, "least bigint, n bigint")
+    counted = kept_table(docs.sparkSession, sampled.groupBy("least").agg(F.sum("n").alias("n")), "window-counts")
+    total = (counted.agg(F.sum("n")).first()[0] or 0) / SAMPLE_SHARE
+    hot = counted.where(F.col("n") > SAMPLE_SHARE * WINDOWS_PER_BUCKET).collect()  # at most the total's share
+    hot = sorted((np.uint64(r["least"] % 2**64), r["n"]) for r in hot)
+    many = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // WINDOWS_PER_BUCKET))
+    split = np.array([x for x, _ in hot], np.uint64)
+    parts = np.array([1 + int(n / SAMPLE_SHARE) // WINDOWS_PER_BUCKET for _, n in hot], np.int64)
+    return Buckets(many, split, 2 * parts)
+
+
 def intervals(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """One row for each document with its runs of covered windows as start, length, ..."""
     starts, lengths = runs_of(doc, place)
@@ -85,7 +150,7 @@ def intervals(ids: np.ndarray, tags: np.ndarray, doc: np.ndarray, place: np.ndar
 
 
 def task_groups(
-    ids: np.ndarray, tags: np.ndarray, rows: list[np.ndarray], size: int, buckets: int
+    ids: np.ndarray, tags: np.ndarray, rows: list[np.ndarray], size: int, buckets: Buckets
 ) -> Iterator[tuple]:
     """Rows of GROUP_SCHEMA for one task's documents; bucket -1 - b carries settled intervals."""
     order = np.argsort(ids, kind="stable")
@@ -99,8 +164,7 @@ def task_groups(
     doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
     place = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
     # Documents are in id order, so the first of equal hashes has the smallest id.
-    by_hash = np.argsort(window, kind="stable")
-    fresh = np.concatenate([[True], window[by_hash[1:]] != window[by_hash[:-1]]])
+    by_hash, fresh = grouped_order(window, marks(least))
     smallest = np.empty(len(doc), np.int64)
     smallest[by_hash] = ids[doc[by_hash[np.flatnonzero(fresh)]]][np.cumsum(fresh) - 1]
     settled = ids[doc] > smallest
@@ -110,17 +174,18 @@ def task_groups(
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, done.schema) as writer:
             writer.write_batch(done)
-        yield (-1 - int(ids[doc[at[0]]] % buckets), b"", sink.getvalue().to_pybytes(), b"", b"")
+        yield (-1 - int(ids[doc[at[0]]] % buckets.many), b"", sink.getvalue().to_pybytes(), b"", b"")
     left = np.flatnonzero(~settled)
-    start, length = runs_of(doc[left], place[left], least[left])
+    of_window = buckets.of(least[left], window[left])
+    start, length = runs_of(doc[left], place[left], least[left], of_window)
+    bucket = of_window[start]
     start = left[start]
-    bucket = (least[start] % np.uint64(buckets)).astype(np.int64)
     by_bucket = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[by_bucket])) + 1
     for group in np.split(by_bucket, cuts):
         at, n = start[group], length[group]
         own, index = np.unique(doc[at], return_inverse=True)
-        table = np.column_stack([index, place[at], n]).astype(np.int32).reshape(-1, 3)
+        table = np.column_stack([index, place[at], n, marks(least[at])]).astype(np.int32).reshape(-1, 4)
         yield (
             int(bucket[group[0]]),
             window[spread(at, n)].tobytes(),
@@ -136,15 +201,14 @@ def settle(groups: list[dict]) -> pa.RecordBatch:
     ids = [from_planes(g["docs"], np.int64) for g in groups]
     tags = np.concatenate([from_planes(g["tags"], np.int32) for g in groups])
     base = run_starts(np.array([len(x) for x in ids]))
-    runs = [from_planes(g["runs"], np.int32).reshape(3, -1).astype(np.int64) for g in groups]
+    runs = [from_planes(g["runs"], np.int32).reshape(4, -1).astype(np.int64) for g in groups]
     index = np.concatenate([r[0] + b for r, b in zip(runs, base, strict=True)])
     start = np.concatenate([r[1] for r in runs])
     length = np.concatenate([r[2] for r in runs])
     all_ids, window = np.concatenate(ids), np.concatenate(hashes)
     doc = np.repeat(index, length)
     place = spread(start, length)
-    by_hash = np.argsort(window)
-    fresh = np.concatenate([[True], window[by_hash[1:]] != window[by_hash[:-1]]])
+    by_hash, fresh = grouped_order(window, np.repeat(np.concatenate([r[3] for r in runs]), length))
     firsts = np.flatnonzero(fresh)
     least = np.minimum.reduceat(all_ids[doc[by_hash]], firsts)
     covered = np.zeros(len(doc), bool)
@@ -156,7 +220,8 @@ def settle(groups: list[dict]) -> pa.RecordBatch:
 
 def repeated_spans(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """doc_id, tag of the row, and the covered windows as start, length, ...; many rows for a document."""
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    buckets = chosen_buckets(rows, size)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, tags, rows, total = [], [], [], 0
@@ -195,7 +260,6 @@ def repeated_spans(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         if waiting:
             yield settle(waiting)
 
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     grouped = rows.select(F.col("doc_id").cast("bigint"), "text", "tag").mapInArrow(group, GROUP_SCHEMA)
     met = grouped.repartition("bucket").sortWithinPartitions("bucket")
     return met.mapInArrow(meet, "doc_id bigint, tag int, spans array<int>")
