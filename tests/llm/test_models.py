@@ -115,6 +115,78 @@ def test_language_of_odd_rows(spark, documents):
     assert language.digest(docs.where("doc_id < 0")).count() == 0
 
 
+def test_texts_without_letters_have_no_language(spark, documents):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat", "en"), ("der Hund", "de")] * 10)]
+    odd = ["½ ² ¾", "Ⅷ ①②", "٣٤ __ --", "😀 \u0301", "x½"]
+    got = {r.doc_id: r for r in language.digest(documents(rows + [(100 + i, t, None) for i, t in enumerate(odd)], "doc_id BIGINT, text STRING, lang STRING")).collect()}
+    assert [got[100 + i].lang_pred for i in range(4)] == ["und"] * 4 and got[104].lang_pred != "und"
+
+
+def test_language_against_the_formula_in_plain_python(spark, documents):
+    """Emissions, forward-backward and shares of each text, word by word, with the learned weights."""
+    import math
+
+    docs = table(spark, "documents").select("doc_id", "text", "lang").limit(120)
+    tagger = language.fit(docs, rows=60)
+    mixed = [(10**6 + i, t) for i, t in enumerate(["the und la", "", "12", "El niño y der Hund and the dog", None])]
+    texts = [(r.doc_id, r.text) for r in docs.limit(25).collect()] + mixed
+    got = {r.doc_id: r for r in language.identified(documents(texts), tagger).collect()}
+    k = len(tagger.states)
+    add = lambda values: max(values) + math.log(sum(math.exp(v - max(values)) for v in values))
+    known = {}
+    for doc_id, text in texts:
+        words = [w for w in map(language.letters, (text or "").split()) if w]
+        if not words:
+            assert (got[doc_id].lang_pred, got[doc_id].score) == ("und", 0.0)
+            continue
+        emit = []
+        for w in words:
+            if w not in known:
+                known[w] = [float(x) for x in tagger.weight[language.features([w], tagger.lexicon, k)[0]].astype(float).sum(axis=0)]
+            emit.append(known[w])
+        ahead = [emit[0]]
+        for e in emit[1:]:
+            ahead.append([add([ahead[-1][a] + tagger.move[a, s] for a in range(k)]) + e[s] for s in range(k)])
+        back = [[0.0] * k]
+        for e in reversed(emit[1:]):
+            back.append([add([tagger.move[s, b] + e[b] + back[-1][b] for b in range(k)]) for s in range(k)])
+        back.reverse()
+        whole = add(ahead[-1])
+        share = [sum(math.exp(f[s] + b[s] - whole) for f, b in zip(ahead, back)) / len(words) for s in range(k)]
+        assert got[doc_id].score == pytest.approx(max(share), abs=1e-4)
+        assert got[doc_id].lang_pred == tagger.states[int(np.argmax(share))]
+
+
+def test_language_of_one_long_text(spark, documents):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der Hund und die Katze", "de")] * 10)]
+    long_text = "der Hund und die Katze " * 60_000
+    got = {r.doc_id: r for r in language.digest(documents([*rows, (99, long_text, None)], "doc_id BIGINT, text STRING, lang STRING")).collect()}
+    assert got[99].lang_pred == "de" and got[99].score > 0.9
+
+
+def test_quality_against_the_formula_in_plain_python(spark, documents):
+    docs = table(spark, "documents").limit(80)
+    model = quality.fit(docs, table(spark, "labels"), rows=60)
+    texts = [(r.doc_id, r.text) for r in docs.limit(30).collect()] + [(10**6 + i, t) for i, t in enumerate(["", None, "a a a b", "x"])]
+    got = {r.doc_id: r.score for r in quality.scored(documents(texts, extra=False), model).collect()}
+    for doc_id, text in texts:
+        total, count, before = 0.0, 0, None
+        for word in (text or "").split():
+            own = model.weight[quality.features([word])[0]]
+            total += float(own.astype(float).sum()) + float(model.weight[quality.REPEATED if word == before else quality.FRESH])
+            count += len(own) + 1
+            before = word
+        odds = model.bias + total / max(count, 1)
+        assert got[doc_id] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-5)
+
+
+def test_quality_of_one_long_text(spark, documents):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id BIGINT, quality INT")
+    docs = documents([(1, "good words here"), (2, "bad bad bad"), (3, "good words here " * 300_000)])
+    rows = {r.doc_id: r.score for r in quality.digest(docs, labels).collect()}
+    assert rows[3] == pytest.approx(rows[1], abs=0.2)
+
+
 def test_words_of_a_mixed_text_change_language(spark):
     docs = table(spark, "documents")
     tagger = language.fit(docs, rows=300)
@@ -177,6 +249,29 @@ def test_secrets_without_digits_or_of_few_characters_are_masked(spark, documents
     assert [rows[6], rows[7]] == plain
 
 
+def test_masking_against_plain_python(spark, documents):
+    """Candidates by the same pattern in another engine, masked one by one where the forest says so."""
+    import regex
+
+    texts = [r.text for r in table(spark, "documents").where("text RLIKE 'AKIA|token|password|[a-f0-9]{32}'").limit(60).collect()]
+    texts += [f'x password="{"a1" * 9}" y', "no candidates", "", None, "abcdefghijklmnop " * 2000]
+    docs = list(enumerate(texts))
+    found = {}
+    for r in secrets.findings(spark, documents(docs)).collect():
+        found[r.doc_id, r.place] = (r.value, r.secret)
+    rows = {r.doc_id: r for r in secrets.digest(spark, documents(docs)).collect()}
+    pattern = regex.compile(secrets.CANDIDATE.replace(r"\z", r"\Z"))
+    for doc_id, text in docs:
+        values = [m.group() for m in pattern.finditer(text or "")]
+        assert [found[doc_id, i][0] for i in range(len(values))] == values
+        decided = iter(found[doc_id, i][1] for i in range(len(values)))
+        masked = pattern.sub(lambda m: secrets.MASK if next(decided) else m.group(), text or "")
+        hidden = sum(found[doc_id, i][1] for i in range(len(values)))
+        assert (rows[doc_id].n_candidates, rows[doc_id].n_secrets) == (len(values), hidden)
+        assert rows[doc_id].masked_sha256 == hashlib.sha256(masked.encode()).hexdigest()
+    assert len(found) == sum(r.n_candidates for r in rows.values())
+
+
 def test_masking_only_changes_candidates(spark):
     docs = table(spark, "documents")
     found = secrets.findings(spark, docs.select("doc_id", "text"))

@@ -7,18 +7,20 @@ likelihood, in batches of whole documents from a bounded sample. Forward-backwar
 each word's language by its neighbours too, so runs of another language stand out in
 code-switched text. A document gets the language with the largest share.
 
-Null texts and texts without letters are ``und`` with score 0. Repeated rows get equal
-results. Without training rows every text is ``und``.
+Null texts and texts without letters (by Unicode category) are ``und`` with score 0.
+Repeated rows get equal results, rows with a null id too. Without training rows every text
+is ``und``; an empty table gives an empty one. A long text is tagged whole, in memory
+proportional to its words; other columns can have any name.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,8 @@ LEXICON_WORDS = 2000
 CHARS_PER_BLOCK = 4_000_000
 WORDS_AT_ONCE = 20_000
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters by their Unicode category: no fractions, powers or Roman numerals.
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def letters(chunk: str) -> str:
