@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from conftest_llm import ASCII, words_of
 
+import __spark_entry__ as contract
 from waymark.llm import decontaminate, near, search, sharding, substrings, webtext
 
 
@@ -337,6 +338,43 @@ def test_search_against_brute_force(spark, documents):
     assert search.top_k(spark, documents([]), documents([])).count() == 0
 
 
+def test_search_with_repeated_rows(spark, documents):
+    """A repeated document is found as often as it stands there; rows of one query id are one query."""
+    docs = [(1, "red fox"), (1, "red fox"), (2, "red hen"), (3, "blue fox"), (4, None), (50, "red"), (50, "fox")]
+    got = search.top_k(spark, documents(docs), documents([(50, "red"), (50, "fox")]), k=10).collect()
+    both = search.top_k(spark, documents(docs), documents([(50, "red fox")]), k=10).collect()
+    assert [(r.rank, r.doc_id, r.score) for r in got] == [(r.rank, r.doc_id, r.score) for r in both]
+    assert [r.doc_id for r in sorted(got, key=lambda r: r["rank"])][:2] == [1, 1] and {r.doc_id for r in got} == {1, 2, 3}
+
+
+def test_registered_shards_follow_their_law(spark):
+    rows = contract.queries()["op7_sharding"](spark, "/root/testdata/sf0.01").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    expected = {(r.doc_id, len(r.text.encode()) + 16, zlib.crc32(r.text.encode())) for r in docs}
+    assert {(r.doc_id, r.size, r.text_crc32) for r in rows} == expected and len(rows) == len(docs)
+    assert {(r.law, r.grown_shard) for r in rows} == {("bytes", None)}
+    loads, places = Counter(), defaultdict(list)
+    for r in rows:
+        loads[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert sorted(loads) == list(range(40)) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(loads.values()) < 1.5 * min(loads.values())
+
+
+def test_long_texts_and_empty_tables(spark, documents):
+    long_text = " ".join(f"w{i}" for i in range(300_000))
+    docs = documents([(1, long_text), (2, long_text), (3, None)])
+    sizes = {r.doc_id: r.size for r in sharding.shard_documents(spark, docs, shards=40).collect()}
+    assert sizes == {1: len(long_text) + 16, 2: len(long_text) + 16, 3: 16}
+    removed = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.digest(docs).collect()}
+    assert removed == {1: (300_000, 0), 2: (300_000, 300_000), 3: (0, 0)}
+    assert substrings.digest(documents([])).count() == 0
+    page = "<article>" + "".join(f"<p>line {i}</p>" for i in range(100_000)) + "</article>"
+    pages = spark.createDataFrame([(1, "http://l.org/1", page), (2, "http://l.org/2", page + "<p>end of the page</p>")], "page_id BIGINT, url STRING, html STRING")
+    texts = {r.page_id: r.text.count("\n\n") for r in webtext.extracted(pages).collect()}
+    assert texts == {1: 99_999, 2: 100_000}
+
+
 # --- web pages ----------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>

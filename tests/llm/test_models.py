@@ -297,6 +297,27 @@ def test_pipeline_against_its_parts(spark):
         assert result[i].ids == library.encode(text[i], add_special_tokens=False).ids
 
 
+def test_pipeline_with_nulls_repeated_ids_and_a_long_text(spark, tmp_path):
+    """Without labels no document is rejected, so what goes is known by hand."""
+    passage = " ".join(f"test{i}" for i in range(30))
+    own = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    key = 'token = "' + hashlib.sha1(b"k").hexdigest() + '"'
+    rows = [
+        (1, own("a")), (2, own("a") + " more"), (3, own("b")), (3, own("b")), (3, None), (4, None), (4, ""), (None, own("a")),
+        (None, None), (5, f"{own('c')} {passage}"), (6, f"{own('d')} {key}"), (7, "one"), (8, "one"), (9, own("long", 60_000)), (10, " \n"),
+    ]
+    schema = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, score DOUBLE"
+    docs = spark.createDataFrame([(*r, "en", "x", len(r[1] or ""), 0.0) for r in rows], schema)
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (2, None)], "item_id INT, text STRING").write.parquet(f"{tmp_path}/benchmark.parquet")
+    result = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    library = Tokenizer.from_file(PATH)
+    kept = [rows[0], rows[2], *rows[4:9], (6, rows[10][1].replace(key[9:-1], "<SECRET>")), rows[11], rows[13], rows[14]]
+    expected = [(d, library.encode(t or "", add_special_tokens=False).ids) for d, t in kept]
+    assert sorted(((r.doc_id, r.ids) for r in result), key=repr) == sorted(expected, key=repr)
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = table(spark, "documents").limit(60)
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -5,7 +5,9 @@ symbols. An index maps every pair that has a rank to all its positions; ranks ar
 in ascending order, each merge is applied at all its positions at once, and the pairs
 next to a merge are entered under their own ranks. Every word's ids are then looked up.
 
-Null and empty texts encode to no tokens. Repeated rows encode alike. The tokenizer's
+Null and empty texts encode to no tokens. Repeated rows encode alike, whatever their ids; an
+empty table gives an empty one. A long text is encoded whole, in memory proportional to
+its length; other columns can have any name. The tokenizer's
 strings for special tokens become their ids wherever they stand in a text, as the
 tokenizers library does. A vocabulary whose merges share a result isn't supported,
 since ascending order would not be the per-word order then; loading one raises ValueError.

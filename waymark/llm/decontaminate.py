@@ -6,7 +6,9 @@ words; items without words give none. Document windows are hashed, looked up in
 broadcast set, and each hash hit is confirmed word by word.
 
 Null and empty texts have no words and are never contaminated; rows that share a doc_id
-are judged one by one; an empty benchmark hits nothing. Only DataFrame functions are used.
+are judged one by one; an empty benchmark hits nothing, an empty table gives an empty one.
+A text of any length is scanned whole, one row for each of its windows; other columns can
+have any name. Only DataFrame functions are used.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ confirmed on their full sets. Groups are connected components of the confirmed l
 
 Null texts and texts without words have empty sets and no links. Shorter texts have
 their whole word sequence as the only shingle. Repeated rows are in one group. Rows with
-a null id get a null group and link nothing. Ids are whole numbers.
+a null id get a null group and link nothing. Ids are whole numbers. An empty table gives an
+empty one. A text of any length is one set, held whole by a task; other columns can have
+any name.
 """
 
 from __future__ import annotations

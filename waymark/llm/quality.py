@@ -8,7 +8,9 @@ Since the average and the output weights are linear, a word's share of the score
 number, computed once per distinct word of a batch.
 
 Null and empty texts have no features and get the score of the bias alone. Rows with
-null labels or ids don't train; without labelled rows every score is 0.5.
+null labels or ids don't train; without labelled rows every score is 0.5. Repeated rows get
+equal scores; an empty table gives an empty one. A long text is averaged whole; other
+columns pass through, and can have any name but that of the score.
 """
 
 from __future__ import annotations

@@ -13,7 +13,10 @@ all shards are exactly the k best of the corpus.
 
 Words are runs of digits, letters and non-ASCII characters after lower-casing A-Z. Null
 and empty texts match nothing but count as rows. A query doesn't find its own id.
-Repeated rows are found as often as they stand in the table. Ids are whole numbers.
+Repeated rows are found as often as they stand in the table, and the queries of rows that
+share an id are one query of all their words. Ids are whole numbers. An empty table or no
+query gives no rows. A long text is one document of its shard, as a query too; other
+columns can have any name.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ labelled findings, kept as rules that state what is and what is not a secret, fr
 which Spark makes ``FINDINGS`` examples. Confirmed secrets are replaced in the text.
 
 Null and empty texts have no candidates and stay as they are. Rows that share a doc_id
-are scanned one by one, and repeated rows alike. Only DataFrame functions and spark.ml's
+are scanned one by one, and repeated rows alike. An empty table gives an empty one; a text of
+any length is scanned whole; other columns can have any name. Only DataFrame functions and spark.ml's
 forest, which runs in the JVM, are used.
 """
 

@@ -6,7 +6,8 @@ growing only edit that table, as a new version, so few records move.
 
 Null or empty text counts no bytes; a null id hashes like any other value. Rows that
 are equal in every way share a virtual slot and get neighbouring places. An empty
-table gives an empty result. Only DataFrame functions are used.
+table gives an empty result. A long text counts its bytes like any other; other columns
+can have any name. Only DataFrame functions are used.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ arrives once from each such set. No words travel but in the last join with the t
 
 Null and empty texts have no words; texts under 13 words lose none. Rows with a null id
 neither lose words nor make others lose them. Rows that share an id are one document, so
-they keep each other's windows, and each loses its own. Ids are whole numbers.
+they keep each other's windows, and each loses its own. Ids are whole numbers. An empty
+table gives an empty one. A long text is cut into windows whole; other columns can have any name.
 """
 
 from __future__ import annotations
