@@ -37,6 +37,8 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 CHARS_PER_SHARD = 16_000_000
 QUERIES_PER_BLOCK = 2048
+# Looking a posting up costs as much as reading so many in a row.
+LOOKUP = 25
 DIGITS = 6
 EDGE = 2 * 10.0**-DIGITS
 
@@ -116,6 +118,7 @@ class Shard:
         self.impact = tf * (K1 + 1) / (tf + norm[self.place])
         # Runs of postings of one term in one block of documents, with the largest impact.
         owner = np.repeat(np.arange(len(terms)), self.counts)
+        self.posting = owner * len(docs) + self.place
         block = self.place // BLOCK
         cut = np.concatenate([[True], (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])
         at = np.flatnonzero(cut)
@@ -139,15 +142,14 @@ class Shard:
         return np.repeat(bound, BLOCK)[: len(self.docs)]
 
     def exact(self, found: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Scores of some documents by these terms."""
-        if len(found) * 200 > self.counts[terms].sum():
+        """Scores of some documents by these terms: their postings alone, or all of the terms' if that is less work."""
+        if len(found) * len(terms) * LOOKUP > self.counts[terms].sum():
             return self.sums(terms, weights)[found]
-        total = np.zeros(len(found))
-        for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
-            own = self.place[self.starts[term] : self.starts[term] + self.counts[term]]
-            at = np.minimum(np.searchsorted(own, found), len(own) - 1)
-            total += np.where(own[at] == found, self.impact[self.starts[term] + at] * weight, 0)
-        return total
+        # Postings are in order of term and document, so one search finds all pairs of both.
+        wanted = (terms[:, None] * len(self.docs) + found).reshape(-1)
+        at = np.minimum(np.searchsorted(self.posting, wanted), len(self.posting) - 1)
+        impact = np.where(self.posting[at] == wanted, self.impact[at], 0.0)
+        return weights @ impact.reshape(len(terms), len(found))
 
     def best(self, query: int, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
         """The k best other documents of this shard."""
