@@ -50,7 +50,9 @@ def in_order(rows):
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-def test_contamination_against_brute_force(spark, documents):
+@pytest.mark.parametrize("most", [decontaminate.MOST_BROADCAST_WINDOWS, 0])
+def test_contamination_against_brute_force(spark, documents, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST_WINDOWS", most)
     vocabulary = ["The", "a", "ü1", "No", "zwei", "x"]
     docs = list(enumerate(random_texts(60, vocabulary, 1, 80)))
     items = list(enumerate(random_texts(12, vocabulary, 2, 20))) + [(50, None), (51, "No"), (52, "qq " * 40)]

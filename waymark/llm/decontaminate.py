@@ -53,7 +53,7 @@ def window_hits(spark: SparkSession, docs: DataFrame, windows: DataFrame) -> Dat
     """doc_id, row_key, first word, end and window of every occurrence, confirmed on the words."""
     distinct = windows.select("window", F.size("window").alias("n")).distinct()
     counted = distinct.groupBy("n").count().collect()  # at most 13 lengths
-    hint = F.broadcast if sum(r["count"] for r in counted) <= MOST_BROADCAST_WINDOWS else lambda x: x
+    few = sum(r["count"] for r in counted) <= MOST_BROADCAST_WINDOWS
     texts = docs.select("doc_id", row_key().alias("row_key"), words(F.col("text")).alias("words"))
     found = []
     for n in sorted(r["n"] for r in counted):
@@ -63,11 +63,13 @@ def window_hits(spark: SparkSession, docs: DataFrame, windows: DataFrame) -> Dat
         tests = distinct.where(F.col("n") == n).select(
             "window", F.xxhash64(*[F.get("window", F.lit(i)) for i in range(n)]).alias("hash")
         )
-        confirmed = (_hash_at(n, F.col("first")) == F.col("hash")) & (
-            F.slice("words", F.col("first") + 1, n) == F.col("window")
-        )
+        own_hash, own = _hash_at(n, F.col("first")), F.slice("words", F.col("first") + 1, n)
+        if not few:  # what travels to meet the tests is the window, not the text
+            tokens = tokens.select("doc_id", "row_key", "first", own_hash.alias("own_hash"), own.alias("own"))
+            own_hash, own = F.col("own_hash"), F.col("own")
+        confirmed = (own_hash == F.col("hash")) & (own == F.col("window"))
         found.append(
-            tokens.join(hint(tests), confirmed).select(
+            tokens.join(F.broadcast(tests) if few else tests, confirmed).select(
                 "doc_id", "row_key", "first", (F.col("first") + n).alias("end"), "window"
             )
         )
