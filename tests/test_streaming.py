@@ -335,6 +335,15 @@ def test_closed_windows_are_written_once_by_day(spark, trips):
     assert sum(op.numRowsRemoved for op in states) > 0 and states[-1].numRowsTotal == 1  # the open window
 
 
+def test_batches_in_folders_by_value(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k INT, part STRING")
+    table = StreamTable(str(tmp_path / "t"), rows.schema, "append", partition_by=("part",))
+    table.write_batch(rows, 0)
+    table.write_batch(rows.where("k = 2"), 1)
+    assert sorted(map(tuple, table.read(spark).collect()), key=repr) == [(1, "a"), (2, "b"), (2, "b"), (3, None)]
+    assert (tmp_path / "t" / "data" / "batch_id=1" / "part=b").is_dir()
+
+
 def test_dropped_rows_are_counted_by_batch(spark, folder):
     for i in range(len(FILES)):
         add_file(folder, i)
