@@ -1,6 +1,7 @@
 """Operators against exact small results, pandas, and brute force."""
 
 import math
+import uuid
 from collections import Counter, defaultdict
 from datetime import datetime
 
@@ -27,6 +28,7 @@ from waymark.functions import (
     weekday,
     whole_number,
 )
+from waymark.operators.model import even_parts
 
 NAN = float("nan")
 
@@ -443,3 +445,37 @@ def test_fare_model_learns_and_skips_invalid_rows(spark):
     scored = op.score(model, features, ["total"]).toPandas()
     assert len(scored) == 399
     assert np.corrcoef(scored.total, scored.prediction)[0, 1] > 0.9
+
+
+def test_fare_model_bounds_the_rows_of_a_task(spark):
+    """One part of copies, nulls and NaN is dealt out; the same rows give the same trees each time."""
+    trips = spark.range(4000, numPartitions=1).selectExpr(
+        "IF(id = 5, NULL, IF(id = 6, double('NaN'), double(id % 10))) AS dist",
+        "IF(id < 2000, 1, id % 24) AS hour",
+        "IF(id = 7, NULL, double(id % 10) * 3 + id % 7) AS total",
+    )
+
+    def fitted(rows, **limits):
+        group = f"fit-{uuid.uuid4().hex}"
+        spark.sparkContext.setJobGroup(group, "fit")
+        model = op.fit_fare_model(rows, ["dist", "hour"], "total", **limits)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+        widest = max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+        return model.stages[-1].toDebugString.split("\n", 1)[1], widest
+
+    bounded = fitted(trips, rows_per_task=500)
+    assert bounded[1] == 8 and bounded == fitted(trips, rows_per_task=500)
+    assert fitted(trips)[1] < 8
+    assert len(op.score(op.fit_fare_model(trips, ["dist", "hour"], "total", rows_per_task=500), trips, ["total"]).collect()) == 3998
+
+
+def test_even_parts_keep_every_row(spark):
+    rows = spark.range(1000, numPartitions=1).selectExpr("IF(id % 3 = 0, NULL, 7) AS a", "id % 2 AS b")
+    dealt = even_parts(rows, 100)
+    parts = dealt.rdd.glom().map(lambda part: [tuple(r) for r in part]).collect()
+    assert len(parts) == 10 and max(map(len, parts)) <= 101
+    assert parts == even_parts(rows, 100).rdd.glom().map(lambda part: [tuple(r) for r in part]).collect()
+    assert sorted(map(str, sum(parts, []))) == sorted(str(tuple(r)) for r in rows.collect())
+    assert even_parts(rows, 1000) is rows and even_parts(rows.where("b > 1"), 1).count() == 0
