@@ -349,6 +349,63 @@ def test_search_with_repeated_rows(spark, documents):
     assert [r.doc_id for r in sorted(got, key=lambda r: r["rank"])][:2] == [1, 1] and {r.doc_id for r in got} == {1, 2, 3}
 
 
+def test_search_leaves_out_documents_without_an_id(spark, documents):
+    docs = documents([(None, "red fox"), (1, "red"), (50, "red fox"), (2, None)])
+    assert [(r.query_id, r.doc_id) for r in search.top_k(spark, docs, docs.where("doc_id = 50")).collect()] == [(50, 1)]
+
+
+@pytest.mark.parametrize("cells, scores, postings", [(4_000_000, 500_000, 50_000), (900, 700, 40), (0, 1, 1)])
+def test_shard_scores_many_queries_at_once(monkeypatch, cells, scores, postings):
+    """Terms in the matrix and beside it, in blocks of any size, give the sums of all common terms."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(search, "CELLS", cells)
+    monkeypatch.setattr(search, "SCORES", scores)
+    monkeypatch.setattr(search, "POSTINGS", postings)
+    draw = random.Random(8)
+    texts = [" ".join(draw.choices("abcde", k=4) + [f"r{draw.randint(0, 60)}" for _ in range(draw.randint(0, 9))]) for _ in range(300)]
+    texts[7], texts[8], texts[9] = "", texts[0], None
+    ids = [*range(290), 3, 4, *[None] * 8]
+    found = search.term_counts(texts)
+    held = sorted((t, i, n) for i, row in enumerate(found) for t, n in zip(*(x.tolist() for x in row), strict=True))
+    terms = Counter(t for t, _, _ in held)
+    lengths = [int(n.sum()) for _, n in found]
+    mean = sum(lengths) / len(lengths)
+    shard = search.Shard(
+        pa.array(ids, pa.int64()),
+        np.array(lengths),
+        np.array(sorted(terms)),
+        np.array([terms[t] for t in sorted(terms)], np.int32),
+        np.array([i for _, i, _ in held], np.int32).tobytes(),
+        np.array([n for _, _, n in held], np.int32).tobytes(),
+        mean,
+    )
+    assert len(shard.matrix) == (0 if cells == 0 else min(cells // 300, sum(n > 0.05 * 300 for n in terms.values())))
+    asked = [(q, {t: 1 + n / 7 for t, n in zip(*(x.tolist() for x in found[q]), strict=True)} | {5: 2.0}) for q in range(0, 290, 5)]
+    flat = [x for _, own in asked for x in sorted(own.items())]
+    columns = [q for q, _ in asked], [len(own) for _, own in asked], [t for t, _ in flat], [w for _, w in flat]
+    columns, known = [np.array(x) for x in columns], np.zeros((len(asked), 4))
+    got = shard.best(*columns, known)
+    expected = []
+    for q, own in asked:
+        score = Counter()
+        for t, i, n in held:
+            if t in own and ids[i] not in (None, q):
+                score[i] += own[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * lengths[i] / mean))
+        expected += [(q, ids[i], round(s, 6)) for i, s in sorted(score.items(), key=lambda x: (-round(x[1], 6), ids[x[0]]))[:4]]
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == expected
+    # With these scores as thresholds a block of documents goes only if it can't reach them.
+    assert [s for _, _, s in expected if s] == [s for row in known.tolist() for s in sorted(row)[::-1] if s]
+    again = shard.best(*columns, known.copy())
+    assert list(zip(*(x.tolist() for x in again), strict=True)) == expected
+    assert not len(shard.best(*columns, known + 99)[0])
+    seen = []
+    monkeypatch.setattr(search.Shard, "in_reach", lambda *x, f=search.Shard.in_reach: seen.append(f(*x)) or seen[-1])
+    shard.best(*(x[: columns[1][0]] if x is columns[2] or x is columns[3] else x[:1] for x in columns), known[:1] + 99)
+    assert len(seen) == 1 and not len(seen[0])
+
+
 def test_registered_shards_follow_their_law(spark):
     rows = contract.queries()["op7_sharding"](spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
