@@ -1,6 +1,7 @@
 """Cross-tokenizer alignment against the two libraries and plain Python."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -111,3 +112,37 @@ def test_groups_of_one_text_and_other_columns(spark, documents):
         text = {1: "word", 2: "words"}[r.doc_id]
         assert r.groups.split(";")[0].split("|")[0].startswith(str(a.encode(" " + text).ids[0]))
         assert r.n_b == len(b.encode(text))
+
+
+def aligner():
+    return alignment.Aligner(alignment.read_bytes(PATH_A).decode(), alignment.read_bytes(PATH_B))
+
+
+def test_words_of_a_block_are_encoded_once():
+    words = [f"{a}{b}" for a in ("north", "Wörter", "12", "don't") for b in ("", ".", "ing", "\nand")]
+    texts = [" ".join(words[(i * j) % len(words)] for j in range(200)) for i in range(1, 60)]
+    one, seen = aligner(), []
+    for side in (one.a, one.b):
+        side.encode = lambda text, plain=side.encode: seen.append(len(text)) or plain(text)
+    counts, *_ = one.aligned(texts)
+    assert counts[0].min() >= 200
+    assert sum(seen) < 1000 < sum(map(len, texts))
+
+
+def test_words_and_whole_texts_align_alike(monkeypatch):
+    bits = [" ", "  ", "\n", "\n\n", "\t", "\x1c", "\x85", "\xa0", "\u3000", "▁", "'s", "12", "word", "é", "́", "漢字", "<0x41>", "--", " the"]
+    draw = random.Random(3)
+    texts = ["".join(draw.choices(bits, k=draw.randint(0, 30))) for _ in range(500)]
+    texts += [None, "", " ", "x ", " x", "x" * 5000, "▁ a b", "a b a"]
+    by_words, whole = aligner(), aligner()
+    assert by_words.by_words
+    whole.by_words = False
+    expected = whole.aligned(texts)
+    monkeypatch.setattr(alignment, "MOST_WORDS", 50)
+    for part in (texts, texts[:100], texts):
+        counts, groups, row, pairs, links = by_words.aligned(part)
+        kept = expected[2] < len(part)
+        assert counts.tolist() == expected[0][:, : len(part)].tolist() and groups == expected[1][: len(part)]
+        for got, of_whole in zip((row, pairs, links), expected[2:], strict=True):
+            assert got.tolist() == of_whole[kept].tolist()
+    assert sum(not x for x in groups) > 10

@@ -4,6 +4,12 @@ Each text is encoded by A (byte-level BPE) and by B (pieces with byte fallback).
 offsets where a token of both ends cut the tokens into groups, and an A and a B token of
 one group are linked. A pair of ids counts in how many documents it is linked.
 
+No token of either spans the space between two words, so both end there and groups are
+made of single words: a task aligns each distinct word once, many of them joined to one
+text, and puts every document together from its words. It keeps words up to a bound and
+starts anew beyond. Where a word fails by itself, or the vocabularies don't keep to words,
+the whole text is aligned.
+
 An array made beforehand gives for each A id the B id of the same bytes. Groups of one
 such pair need no shuffle: a task counts them in vectors as long as A's vocabulary, and
 only those are added up. Pairs of other groups are counted by a shuffle, one row for each
@@ -29,7 +35,9 @@ import base64
 import hashlib
 import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +53,17 @@ ship_by_value(__name__)
 CHARS_PER_BLOCK = 500_000
 LONG_TEXT = 200_000
 MOST_HEAVY = 500_000
+# What a task keeps of the words that it has aligned, and how many characters of new ones it aligns at a time.
+MOST_WORDS, MOST_CHARS, MOST_PAIRS = 200_000, 10_000_000, 2_000_000
+CHARS_PER_RUN = 50_000
 # Groups with more pairs than this are counted by their distinct ids.
 LARGE_GROUP = 4096
 # Fixed value: how byte-level vocabularies of this kind cut a text into pieces.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
+SPACE_INSIDE = re.compile("[^▁]▁")
+# A space behind another character than white space, with more than white space to come.
+BETWEEN_WORDS = re.compile(r" (?<=\S )(?=\s*\S)")
 
 
 class ByteLevel:
@@ -108,6 +122,19 @@ class Pieces:
             plain = not (self.library.is_control(i) or self.library.is_unknown(i))
             value = bytes([int(as_byte[1], 16)]) if as_byte else piece.replace("▁", " ").encode()
             self.bytes.append(value if plain else b"")
+        self.by_words = self._by_words(model)
+
+    def _by_words(self, model: bytes) -> bool:
+        """Whether no piece has a space behind another character, and texts are encoded as they are."""
+        try:
+            from sentencepiece import sentencepiece_model_pb2
+        except ImportError:  # without protobuf the model's settings can't be read
+            return False
+        spec = sentencepiece_model_pb2.ModelProto.FromString(model)
+        clean, of = spec.normalizer_spec, spec.trainer_spec
+        as_is = not clean.precompiled_charsmap and clean.add_dummy_prefix and clean.escape_whitespaces
+        plain = of.model_type == of.BPE and not of.treat_whitespace_as_suffix
+        return as_is and not clean.remove_extra_whitespaces and plain and not any(SPACE_INSIDE.search(x.piece) for x in spec.pieces)
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, num_threads=1), np.int64)
@@ -131,12 +158,12 @@ class Digits:
         self.starts = run_starts(self.lengths)
         self.bytes = np.frombuffer("".join(texts).encode(), np.uint8)
 
-    def joined(self, ids: np.ndarray, marks: np.ndarray) -> bytes:
-        """The ids, each followed by its mark, without the last mark."""
+    def joined(self, ids: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids as bytes, each followed by its mark, and the length of each with it."""
         lengths = self.lengths[ids]
         out = self.bytes[spread(self.starts[ids], lengths)]
         out[np.cumsum(lengths) - 1] = marks
-        return out[:-1].tobytes()
+        return out, lengths
 
 
 class Aligner:
@@ -149,29 +176,118 @@ class Aligner:
         self.texts_a, self.texts_b = (np.array(x, dtype=object) for x in (self.a.bytes, self.b.bytes))
         self.same = same_bytes(self.a.bytes, self.b.bytes)
         self.digits = Digits(max(self.a.size, self.b.size))
+        # A's ranks come with PIECES, where a space stands only before a word or among white space.
+        self.by_words = self.a.ranked is not None and self.b.by_words
+        self._forget()
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both, or none if the bytes of either aren't the text with a space before it."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not text:
-            return none
-        data = b" " + text.encode("utf-8", "surrogatepass")
+        data = b" " + text.encode()
         a, b = self.a.encode(" " + text), self.b.encode(text)
         for ids, sizes, values in ((a, self.sizes_a, self.texts_a), (b, self.sizes_b, self.texts_b)):
             if sizes[ids].sum() != len(data) or b"".join(values[ids].tolist()) != data:
                 return none
         return a, b
 
-    def aligned(self, text: str | None) -> tuple:
-        """n_a, n_b, n_groups, n_links, groups as text, same (A ids and links) and other (pairs and links)."""
-        a, b = self.tokens(text)
+    def aligned(self, texts: list[str | None]) -> tuple:
+        """Counts (a row each of n_a, n_b, n_groups, n_links), groups as texts, and distinct pairs: row, pair, links."""
+        if len(self.number) > MOST_WORDS or self.chars > MOST_CHARS or len(self.codes) > MOST_PAIRS:
+            self._forget()
+        rows = [self._numbers(self._parts(text)) for text in texts]
+        self._learn()
+        owner = np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+        # A part that failed by itself: its whole text decides.
+        for i in np.unique(owner[~self.known[np.concatenate(rows)]]).tolist():
+            rows[i] = self._numbers([(texts[i],)])
+        self._learn()
+        lengths = np.array([len(x) for x in rows], np.int64)
+        words = np.concatenate(rows)
+        before = np.concatenate([np.zeros((4, 1), np.int64), np.cumsum(self.counts[:, words], axis=1)], axis=1)
+        ends = np.cumsum(lengths)
+        counts = before[:, ends] - before[:, ends - lengths]
+        sizes = self.sizes[words]
+        text = self.text[spread(run_starts(self.sizes)[words], sizes)].tobytes()
+        after = np.concatenate([[0], np.cumsum(sizes)])[[ends - lengths, ends]].T.tolist()
+        groups = [text[x : max(x, y - 1)] for x, y in after]
+        n_pairs = self.n_pairs[words]
+        at = spread(run_starts(self.n_pairs)[words], n_pairs)
+        row, pairs, links = _distinct(np.repeat(np.repeat(np.arange(len(rows)), lengths), n_pairs), self.codes[at], self.times[at])
+        return counts, groups, row, pairs, links
+
+    def _parts(self, text: str | None) -> list[str | tuple[str]]:
+        """Words where no token of either can span the space between two. What is aligned by itself is a tuple."""
+        if not text:
+            return []
+        if not self.by_words:
+            return [(text,)]
+        parts = BETWEEN_WORDS.split(text)
+        if text[-1].isspace():  # cut in view of what follows
+            parts[-1] = (parts[-1],)
+        return parts
+
+    def _numbers(self, parts: list[str | tuple[str]]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
+
+    def _forget(self) -> None:
+        """Start with no words."""
+        self.number: dict[str | tuple[str], int] = defaultdict(count().__next__)
+        self.chars = 0
+        self.known = np.zeros(0, bool)
+        self.counts = np.zeros((4, 0), np.int64)
+        self.text = np.zeros(0, np.uint8)
+        self.sizes, self.n_pairs, self.codes, self.times = (np.zeros(0, np.int64) for _ in range(4))
+
+    def _learn(self) -> None:
+        """Align the parts that have a number only, many words at a time as one text."""
+        new = list(islice(self.number, len(self.known), None))
+        if not new:
+            return
+        alone = np.array([isinstance(x, tuple) for x in new])
+        words = [x[0] if isinstance(x, tuple) else x for x in new]
+        after = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        self.chars += int(after[-1])
+        run = after // CHARS_PER_RUN
+        cuts = np.flatnonzero((run[1:] != run[:-1]) | alone[1:] | alone[:-1]) + 1
+        found = []
+        for first, end in pairwise([0, *cuts.tolist(), len(words)]):
+            self._add(words[first:end], found)
+        counts, *lists = zip(*found, strict=True)
+        self.counts = np.concatenate([self.counts, *counts], axis=1)
+        names = ("sizes", "text", "n_pairs", "codes", "times")
+        for name, arrays in zip(names, lists, strict=True):
+            setattr(self, name, np.concatenate([getattr(self, name), *arrays]))
+        self.known = self.sizes > 0
+
+    def _add(self, words: list[str], found: list[tuple]) -> None:
+        """What ``_entries`` gives for words, in halves where a run fails; nothing for a word that fails by itself."""
+        entries = self._entries(words)
+        if entries is not None:
+            found.append(entries)
+        elif len(words) > 1:
+            half = len(words) // 2
+            self._add(words[:half], found)
+            self._add(words[half:], found)
+        else:
+            none, zero = np.zeros(0, np.int64), np.zeros(1, np.int64)
+            found.append((np.zeros((4, 1), np.int64), zero, none.astype(np.uint8), zero, none, none))
+
+    def _entries(self, words: list[str]) -> tuple | None:
+        """Counts, size of the groups' text, the text (a mark behind each group), number of pairs, pairs and links.
+
+        None if the words joined by spaces have no tokens, or a word's end isn't a common offset.
+        """
+        a, b = self.tokens(" ".join(words))
         if not len(a):
-            empty = np.zeros(0, np.int64)
-            return 0, 0, 0, 0, b"", empty, empty, empty, empty
+            return None
         ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
         # Both grow, so what they share needs no sorting; tokens without bytes stay in the group before them.
         common = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(b) - 1)] == ends_a]
         common = common[np.diff(common, prepend=0) > 0]
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)) + 1)
+        last = np.searchsorted(common, ends)
+        if (common[last] != ends).any():
+            return None
         cut_a = np.searchsorted(ends_a, common, side="right")
         cut_b = np.searchsorted(ends_b, common, side="right")
         n_a, n_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
@@ -184,18 +300,16 @@ class Aligner:
         order[spread(begin + n_a, n_b)] = b
         marks[begin + n_a - 1] = ord("|")
         marks[begin + n_a + n_b - 1] = ord(";")
-        text = self.digits.joined(order, marks)
+        text, lengths = self.digits.joined(order, marks)
+        sizes = np.diff(np.cumsum(lengths)[(cut_a + cut_b)[last] - 1], prepend=0)
         links = n_a * n_b
-        pairs, times = self._links(a, b, n_a, n_b, start_a, start_b, links)
-        left = pairs // self.b.size
-        even = self.same[left] == pairs % self.b.size
-        return (
-            len(a), len(b), len(common), int(links.sum()), text,
-            left[even], times[even], pairs[~even], times[~even],
-        )
-
-    def _links(self, a, b, n_a, n_b, start_a, start_b, links) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct linked pairs as a * (size of B) + b, and how many token pairs each stands for."""
+        sums = np.stack([cut_a, cut_b, np.arange(1, len(common) + 1), np.cumsum(links)])[:, last]
+        owner = np.repeat(np.arange(len(words)), np.diff(last, prepend=-1))
+        owner, codes, times = self._links(a, b, n_a, n_b, start_a, start_b, links, owner)
+        return np.diff(sums, axis=1, prepend=0), sizes, text, np.bincount(owner, minlength=len(words)), codes, times
+
+    def _links(self, a, b, n_a, n_b, start_a, start_b, links, owner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct linked pairs of each word as a * (size of B) + b, and how many token pairs each stands for."""
         codes = np.int64(self.b.size)
         one = links == 1
         single = a[start_a[one]] * codes + b[start_b[one]]
@@ -203,18 +317,25 @@ class Aligner:
         group = np.repeat(some, n_a[some])
         token = a[spread(start_a[some], n_a[some])]
         many = np.repeat(token, n_b[group]) * codes + b[spread(start_b[group], n_b[group])]
-        pairs, times = np.unique(np.concatenate([single, many]), return_counts=True)
-        found = [(pairs, times)]
+        pairs = np.concatenate([single, many])
+        found = [(np.concatenate([owner[one], np.repeat(owner[some], links[some])]), pairs, np.ones(len(pairs), np.int64))]
         for g in np.flatnonzero(links > LARGE_GROUP).tolist():
             x, x_times = np.unique(a[start_a[g] : start_a[g] + n_a[g]], return_counts=True)
             y, y_times = np.unique(b[start_b[g] : start_b[g] + n_b[g]], return_counts=True)
-            found.append(((x[:, None] * codes + y).reshape(-1), (x_times[:, None] * y_times).reshape(-1)))
-        if len(found) == 1:
-            return pairs, times
-        pairs, back = np.unique(np.concatenate([p for p, _ in found]), return_inverse=True)
-        total = np.zeros(len(pairs), np.int64)
-        np.add.at(total, back, np.concatenate([t for _, t in found]))
-        return pairs, total
+            pairs = (x[:, None] * codes + y).reshape(-1)
+            found.append((np.full(len(pairs), owner[g]), pairs, (x_times[:, None] * y_times).reshape(-1)))
+        return _distinct(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+
+def _distinct(owner: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each owner's distinct pairs in order, with their times added up."""
+    keys = (owner << 31) + pairs
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    total = np.add.reduceat(times[order], first) if len(first) else np.zeros(0, np.int64)
+    keys = keys[first]
+    return keys >> 31, keys & (2**31 - 1), total
 
 
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -236,15 +357,16 @@ def encoded(docs: DataFrame, spec_a: str, model_b: bytes, with_groups: bool = Fa
         for batch in batches:
             done = 0
             for block in blocks(batch.column("text").to_pylist(), CHARS_PER_BLOCK):
-                rows = [aligner.aligned(text) for text in block]
+                counts, texts, row, pairs, links = aligner.aligned(block)
                 own = batch.slice(done, len(block))
                 done += len(block)
-                groups = [x[4].decode() if with_groups else hashlib.sha256(x[4]).hexdigest() if x[4] else "" for x in rows]
-                columns = [own.column("doc_id"), own.column("row"), *[pa.array([x[i] for x in rows], pa.int64()) for i in range(4)]]
-                columns.append(pa.array(groups, pa.string()))
-                for i in range(5, 9):
-                    offsets = np.concatenate([[0], np.cumsum([len(x[i]) for x in rows])]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(offsets, np.concatenate([x[i] for x in rows]).astype(np.int32)))
+                groups = [x.decode() if with_groups else hashlib.sha256(x).hexdigest() if x else "" for x in texts]
+                columns = [own.column("doc_id"), own.column("row"), *map(pa.array, counts), pa.array(groups, pa.string())]
+                left = pairs // aligner.b.size
+                even = aligner.same[left] == pairs % aligner.b.size
+                for kind, ids in ((even, left), (~even, pairs)):
+                    offsets = np.concatenate([[0], np.cumsum(np.bincount(row[kind], minlength=len(block)))]).astype(np.int32)
+                    columns += [pa.ListArray.from_arrays(offsets, x[kind].astype(np.int32)) for x in (ids, links)]
                 yield pa.record_batch(columns, ["doc_id", "row", *COLUMNS, "groups", *LISTS])
 
     rows = docs.withColumn("row", F.monotonically_increasing_id())
