@@ -406,6 +406,53 @@ def test_shard_scores_many_queries_at_once(monkeypatch, cells, scores, postings)
     assert len(seen) == 1 and not len(seen[0])
 
 
+def test_search_sends_bounded_batches_to_python(spark, documents, monkeypatch):
+    """An executor's memory holds one shard or a few MB of texts for a task, and the session's limit comes back."""
+    limits, key = [], search.BATCH_KEY
+    kept = lambda s, rows, label, f=search.kept_table: limits.append((label, s.conf.get(key, None))) or f(s, rows, label)
+    monkeypatch.setattr(search, "kept_table", kept)
+    before = spark.conf.get(key, None)
+    docs = documents([(i, f"red w{i} w{i // 2}") for i in range(60)])
+    search.top_k(spark, docs, docs.where("doc_id % 20 = 0"))
+    bounded = str(search.BATCH_BYTES)
+    assert limits == [("shards", bounded), ("query-terms", bounded), ("queries", before), ("found", bounded)]
+    assert spark.conf.get(key, None) == before
+    monkeypatch.setattr(search, "BATCH_BYTES", 40_000)
+    texts = spark.range(0, 400, 1, 1).selectExpr("repeat('x', 1000) AS text")
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes], pa.int64())], ["size"])
+
+    found = [r["size"] for r in search.kept_in_batches(spark, texts.mapInArrow(sizes, "size bigint"), "sizes").collect()]
+    assert sum(found) > 400_000 and max(found) < 50_000
+    with pytest.raises(Exception, match="no_such"):
+        search.kept_in_batches(spark, texts.selectExpr("raise_error('no_such')"), "failed")
+    assert spark.conf.get(key, None) == before
+
+
+def test_search_shards_span_batches_and_blocks_hold_bounded_terms(spark, documents, monkeypatch):
+    texts = [(i, f"red w{i} w{i // 2}" + " blue" * (300 if i == 7 else i % 3)) for i in range(90)] + [(None, "red"), (90, None)]
+    docs = documents(texts).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        (shard,) = search.shards(docs.select("doc_id", "text")).collect()
+        assert sorted(shard.docs, key=str) == sorted((d for d, _ in texts), key=str)
+        assert len(shard.places) == sum(shard.counts) and len(shard.tfs) == 2 * sum(shard.counts)  # 92 documents, 300 times blue
+        whole = in_order(search.top_k(spark, docs, docs.where("doc_id % 9 = 0")).collect())
+        monkeypatch.setattr(search, "CHARS_PER_SHARD", 200)
+        monkeypatch.setattr(search, "TERMS_PER_BLOCK", 9)
+        labels = []
+        kept = lambda s, rows, label, f=search.kept_table: labels.append(label) or f(s, rows, label)
+        monkeypatch.setattr(search, "kept_table", kept)
+        assert in_order(search.top_k(spark, docs, docs.where("doc_id % 9 = 0")).collect()) == whole
+        assert labels.count("found") > 3
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_registered_shards_follow_their_law(spark):
     rows = contract.queries()["op7_sharding"](spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
